@@ -44,3 +44,15 @@ def cut(df: DataFrame) -> DataFrame:
     stages neither recompute it nor depend on one executor's disk."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """df in at least as many partitions as tasks can run at once, for the sake of
+    costly work per row. A scan with enough splits is left as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
+def shuffle_partitions(spark: SparkSession) -> int:
+    """The session's number of shuffle partitions, for repartitions that are to stay."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
