@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from types import ModuleType
 
-from . import corpus
+from . import corpus, merge_queries, place_queries
 
 
 def modules() -> list[ModuleType]:
     """All modules with queries."""
-    return [corpus]
+    return [place_queries, merge_queries, corpus]

@@ -8,9 +8,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import spread
 from .bytebpe import loaded
 
-#: Where the installed vocabulary lies; every function takes another path too.
+
 def default_vocabulary() -> str:
     """The file of byte_bpe_50k of the installed public tokenizers."""
     import public_tokenizers
@@ -28,7 +29,7 @@ def encode_corpus(df: DataFrame, id_col: str, text_col: str, vocabulary: str | N
     One row comes out for each row that goes in, repeated rows included. A null
     and an empty text give an empty list; blank texts have ids like any other.
     Other columns are not read. The whole of a text is encoded, however long.
-    There is no shuffle: each partition is encoded where it is read.
+    Partitions are encoded where they are read, unless there are fewer than cores.
     """
     path = vocabulary or default_vocabulary()
     id_type = df.schema[id_col].dataType.simpleString()
@@ -47,7 +48,7 @@ def encode_corpus(df: DataFrame, id_col: str, text_col: str, vocabulary: str | N
             if ids:
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, len(ids)), pa.array(ids, pa.list_(pa.int32()))], names=["key", "ids"])
 
-    two = df.select(F.col(id_col).alias("key"), F.col(text_col).cast("string").alias("text"))
+    two = spread(df.select(F.col(id_col).alias("key"), F.col(text_col).cast("string").alias("text")))
     return two.mapInArrow(encode, f"key {id_type}, ids array<int>").withColumnRenamed("key", id_col)
 
 
@@ -62,5 +63,5 @@ def token_counts(df: DataFrame, id_col: str, text_col: str, vocabulary: str | No
             n = pa.array([bpe.count(t.as_py()) for t in batch.column(1)], pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0), n], names=["key", "n_tokens"])
 
-    two = df.select(F.col(id_col).alias("key"), F.col(text_col).cast("string").alias("text"))
+    two = spread(df.select(F.col(id_col).alias("key"), F.col(text_col).cast("string").alias("text")))
     return two.mapInArrow(count, f"key {id_type}, n_tokens long").withColumnRenamed("key", id_col)
