@@ -10,8 +10,8 @@ from collections.abc import Iterable
 _PLAIN = str.maketrans({"ß": "ss", "ø": "o", "Ø": "O", "ł": "l", "Ł": "L", "æ": "ae", "Æ": "Ae", "œ": "oe", "Œ": "Oe", "đ": "d", "Đ": "D", "ð": "d", "þ": "th", "ı": "i", "ħ": "h", "ŋ": "n"})
 #: Cyrillic letters in Latin spelling, fixed values.
 _CYRILLIC = str.maketrans({
-    "а": "a", "б": "b", "в": "v", "г": "g", "д": "d", "е": "e", "ё": "e", "ж": "zh", "з": "z", "и": "i", "й": "i", "к": "k", "л": "l", "м": "m",
-    "н": "n", "о": "o", "п": "p", "р": "r", "с": "s", "т": "t", "у": "u", "ф": "f", "х": "kh", "ц": "ts", "ч": "ch", "ш": "sh", "щ": "shch",
+    "а": "a", "б": "b", "в": "v", "г": "g", "д": "d", "е": "e", "ё": "e", "ж": "zh", "з": "z", "и": "i", "й": "j", "к": "k", "л": "l", "м": "m",
+    "н": "n", "о": "o", "п": "p", "р": "r", "с": "s", "т": "t", "у": "u", "ф": "f", "х": "h", "ц": "ts", "ч": "ch", "ш": "sh", "щ": "shch",
     "ъ": "", "ы": "y", "ь": "", "э": "e", "ю": "yu", "я": "ya", "і": "i", "ї": "i", "є": "e", "ґ": "g",
 })
 _DIGRAPHS = re.compile(r"(?<=[aou])e|(?<=a)a")
@@ -25,6 +25,15 @@ def fold(text: str) -> str:
     return "".join(c for c in text if not unicodedata.combining(c)).translate(_CYRILLIC)
 
 
+#: Latin letters that Cyrillic spellings do not tell apart, fixed values.
+_ALIKE = str.maketrans({"w": "v", "c": "k", "q": "k", "x": "h", "j": "i", "y": "i"})
+
+
+def skeleton(text: str) -> str:
+    """A folded word with the letters merged that a Cyrillic spelling merges."""
+    return fold(text).replace("sch", "sh").translate(_ALIKE)
+
+
 def undouble(text: str) -> str:
     """ae, oe, ue and aa, as typed for letters with marks, written as one letter."""
     return _DIGRAPHS.sub("", text)

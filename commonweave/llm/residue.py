@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from ..session import spread
 
 #: Matched share of a sentence from which it is residue, and of a document from which it is excluded.
-SENTENCE_COVERAGE, DOCUMENT_COVERAGE = 0.72, 0.0
+SENTENCE_COVERAGE, DOCUMENT_COVERAGE = 0.72, 0.03
 
 # Phrases in lower case; fixed values. A '#' stands for any run of digits, '@' for any hex reference.
 ERRORS = """
