@@ -25,7 +25,7 @@ LEGAL = frozenset("inc ltd llc llp plc gmbh ag ab as oy bv nv sa srl sarl spa kk
 ROLES = frozenset("team info hello contact office admin support mail sales press hr jobs events community help billing hi all staff".split())
 #: What is put before or behind a handle without meaning, fixed values.
 _AFFIX = re.compile(r"^(?:the|its|iam|real|hey)(?=[a-z]{5})|(?:dev|codes|hq|io|oss|labs|archive|tv|x)$")
-_NOISE = re.compile(r"\(.*?\)|\[.*?\]|\{.*?\}|\|.*$|,?\s+(?:ph\.?d|m\.?d|msc|bsc|mba)\b\.?.*$", re.I)
+_NOISE = re.compile(r"\s[-–—]\s.*$|\(.*?\)|\[.*?\]|\{.*?\}|\|.*$|,?\s+(?:ph\.?d|m\.?d|msc|bsc|mba)\b\.?.*$", re.I)
 _TOKEN = re.compile(r"[^\W\d_]+")
 _CAMEL = re.compile(r"(?<=[a-zß-ÿ])(?=[A-ZÀ-Þ])")
 _HANDLE = re.compile(r"[A-Za-z0-9](?:[A-Za-z0-9_.-]{2,}[A-Za-z0-9])?")
@@ -88,6 +88,15 @@ class Lexicon:
         return None
 
 
+@lru_cache(maxsize=200_000)
+def _org_slip(word: str) -> str | None:
+    """The kind of organisation that a word names with a typing slip."""
+    return next((ORG_WORDS[k] for k in _LONG_KINDS if k[0] == word[0] and abs(len(k) - len(word)) <= 1 and damerau(k, word) <= 1), None)
+
+
+_LONG_KINDS = sorted(k for k in ORG_WORDS if len(k) >= 7)
+
+
 def parse_name(name: str | None, lexicon: Lexicon) -> tuple[bool, list[str], list[str], str]:
     """(is it an organisation, given names and initials, family names, kind of organisation).
 
@@ -104,12 +113,14 @@ def parse_name(name: str | None, lexicon: Lexicon) -> tuple[bool, list[str], lis
     legal = [w for w in low if w in LEGAL]
     if not kinds and len(raw) > 1:
         for w in low[1:]:  # a kind with a typing slip
-            if len(w) >= 6 and (hit := next((ORG_WORDS[k] for k in ORG_WORDS if len(k) >= 7 and abs(len(k) - len(w)) <= 1 and damerau(k, w) <= 1), None)):
-                kinds, low = [hit], [x for x in low if x != w] + ["foundation"]
+            if len(w) >= 6 and (hit := _org_slip(w)):
+                kinds, low = [hit], [x for x in low if x != w]
                 break
     if kinds or (legal and len(raw) > 1 and not any(lexicon.lookup(w, True, False) for w in low)) or " & " in bare:
-        core = "".join(w for w in low if w not in ORG_WORDS and w not in LEGAL and w not in ("the", "and") and len(w) > 1)
-        return True, [], [core] if core else [], " ".join(dict.fromkeys(" ".join(kinds).split()))
+        slips = {w: hit for w in low[1:] if w not in ORG_WORDS and len(w) >= 6 and (hit := _org_slip(w))}
+        kinds += slips.values()
+        core = "".join(w for w in low if w not in ORG_WORDS and w not in slips and w not in LEGAL and w not in ("the", "and") and len(w) > 1)
+        return True, [], [core] if core else [], " ".join(sorted(set(" ".join(kinds).split())))
     pairs = [(t, f) for t, f in zip(raw, low) if f.strip(".") not in TITLES or len(f) == 1]
     if len(pairs) == 1 and (m := _CAMEL.search(pairs[0][0])) and not pairs[0][0].isupper():
         a = pairs[0][0]
@@ -129,7 +140,7 @@ def parse_name(name: str | None, lexicon: Lexicon) -> tuple[bool, list[str], lis
             family.append(f if latin else f)
     if len(family) > 1 and not given:  # a given name with a typing slip, at the end it is likely to stand at
         order = [len(family) - 1, 0] if turned else [0, len(family) - 1]
-        for i in order:
+        for i in dict.fromkeys([*order, *range(len(family))]):
             if hit := lexicon.lookup(family[i], True, True):
                 given.append(hit)
                 family.pop(i)

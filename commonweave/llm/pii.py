@@ -30,7 +30,9 @@ from .editmetric import fold, skeleton
 #: occurrences that must lie in slots.
 DISCLOSURE_BITS, SLOT_SHARE = 5.0, 0.3
 #: Share of all (word, partner) pairs from which a word is a given name, and the least number of partners.
-GIVEN_SHARE, GIVEN_LEAST = 1.2e-4, 4
+GIVEN_SHARE, GIVEN_LEAST = 1.2e-4, 3
+#: Share of its names in which a given name stands first.
+GIVEN_LEADS = 0.4
 #: Given names sent to the workers; a longer list is refused rather than cut.
 GIVEN_LIMIT = 200_000
 
@@ -275,15 +277,18 @@ def free_initial(text: str, at: int) -> bool:
 
 
 def given_names(names: DataFrame, column: str) -> DataFrame:
-    """(word): the words of a column of personal names that are given names, by
-    the number of their different partners."""
+    """(word): the words of a column of personal names that are given names: they
+    have many different partners, and mostly stand first, or first behind a comma."""
     bare = F.regexp_replace(F.col(column), r"\(.*?\)|\[.*?\]|\{.*?\}|\|.*$", " ")
-    plain = F.regexp_replace(F.lower(bare), r"[^\p{L}]+", " ")
-    full = names.select(F.array_except(F.array_distinct(F.split(F.trim(plain), " ")), F.array(*[F.lit(t) for t in TITLES])).alias("w")).filter((F.size("w") > 1) & (F.size("w") <= 6)).distinct()
+    ordered = F.regexp_replace(bare, r"^([^,]+),([^,]+)$", "$2 $1")
+    plain = F.trim(F.regexp_replace(F.lower(ordered), r"[^\p{L}]+", " "))
+    full = names.select(F.array_except(F.array_distinct(F.split(plain, " ")), F.array(*[F.lit(t) for t in TITLES])).alias("w")).filter((F.size("w") > 1) & (F.size("w") <= 6)).distinct()
+    placed = full.select(F.posexplode("w").alias("pos", "word")).groupBy("word").agg(F.avg((F.col("pos") == 0).cast("double")).alias("leads"))
     pairs = full.select(F.explode("w").alias("word"), "w").select("word", F.explode("w").alias("other")).filter("word <> other and length(word) > 1 and length(other) > 2").distinct()
     partners = pairs.groupBy("word").agg(F.count("*").alias("n"))
     total = partners.agg(F.sum("n").alias("all"))
-    return partners.crossJoin(F.broadcast(total)).filter(F.col("n") >= F.greatest(F.lit(GIVEN_LEAST), F.col("all") * GIVEN_SHARE)).select("word")
+    many = partners.crossJoin(F.broadcast(total)).filter(F.col("n") >= F.greatest(F.lit(GIVEN_LEAST), F.col("all") * GIVEN_SHARE))
+    return many.join(placed, "word").filter(F.col("leads") >= GIVEN_LEADS).select("word")
 
 
 def find_pii(texts: DataFrame, given: list[str], bits: float = DISCLOSURE_BITS, slot_share: float = SLOT_SHARE) -> DataFrame:
