@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from types import ModuleType
 
-from . import threads
+from . import lookups, rollups, threads
 
-FLAGSHIP = "p4_found"
+FLAGSHIP = "city_signal"
 
 
 def modules() -> list[ModuleType]:
     """All plan modules of the core."""
-    return [threads]
+    return [rollups, lookups, threads]
