@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from types import ModuleType
 
-from . import lookups, rollups, threads
+from . import lookups, processing, rollups, threads
 
 FLAGSHIP = "city_signal"
 
 
 def modules() -> list[ModuleType]:
     """All plan modules of the core."""
-    return [rollups, lookups, threads]
+    return [rollups, lookups, processing, threads]
