@@ -105,9 +105,9 @@ def signals(pairs: DataFrame, records: DataFrame, persons: DataFrame) -> DataFra
 def confidence(found: Column) -> Column:
     """The weighted mean of the signals, and from two kinds on 0.03 for each kind, 0.15 at most; 1 at most."""
     total = lambda f: F.aggregate(found, F.lit(0.0), lambda s, x: s + f(x))
-    mean = F.try_divide(total(lambda x: x["weight"] * x["confidence"]), total(lambda x: x["weight"]))
+    mean = F.coalesce(F.try_divide(total(lambda x: x["weight"] * x["confidence"]), total(lambda x: x["weight"])), F.lit(0.0))
     boost = F.when(F.size(found) >= 2, F.least(F.lit(0.15), F.size(found) * 0.03)).otherwise(0.0)
-    return F.coalesce(F.least(F.lit(1.0), mean + boost), F.lit(0.0))
+    return F.least(F.lit(1.0), mean + boost)
 
 
 def reasoning(found: Column) -> Column:
