@@ -45,10 +45,12 @@ _AT = r"(?:[@＠]|\s[@＠]\s|\s(?-i:AT)\s|\s?(?:\(at\)|\[at\]|\{at\}|<at>|&#64;|
 _DOT = r"(?:\.|\s?(?:\(dot\)|\[dot\]|\{dot\}|<dot>)\s?|\sdot\s)"
 _LABEL = r"[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?"
 _LOCAL = r"[A-Za-z0-9_%+](?:[A-Za-z0-9._%+-]*[A-Za-z0-9_%+])?"
+#: Last labels of addresses spelled in words, without those that are common words; fixed values.
+_ENDINGS = "com|org|net|edu|gov|io|dev|ai|app|co|uk|de|fr|es|pl|se|jp|br|mx|ca|ke|eu|nl|ch|pt|ru|cn|info|biz|xyz|tech|cloud|example|test|invalid|local"
 #: An address with a sign for the 'at', or with the word 'at' and a spelled dot.
 EMAIL = re.compile(rf"(?<![A-Za-z0-9._%+/@-])({_LOCAL}){_AT}{_LABEL}(?:{_DOT}{_LABEL})*?{_DOT}[A-Za-z]{{2,}}(?![A-Za-z0-9-])(?!:[\w~/-]+/|:\w+$)", re.I)
 EMAIL_WORDS = re.compile(
-    rf"(?<![A-Za-z0-9._%+/@-])({_LOCAL})\sat\s{_LABEL}(?:{_DOT}{_LABEL})*?(?:\s?(?:\(dot\)|\[dot\]|\{{dot\}}|<dot>)\s?|\sdot\s)[A-Za-z]{{2,}}(?![A-Za-z0-9-])", re.I
+    rf"(?<![A-Za-z0-9._%+/@-])({_LOCAL})\sat\s{_LABEL}(?:{_DOT}{_LABEL})*?(?:\s?(?:\(dot\)|\[dot\]|\{{dot\}}|<dot>)\s?|\sdot\s)(?:{_ENDINGS})(?![A-Za-z0-9-])", re.I
 )
 #: Local parts of machine accounts, fixed values.
 MACHINES = frozenset("git svn hg ssh root deploy www noreply no-reply donotreply mailer-daemon postmaster".split())
@@ -118,6 +120,12 @@ class Given:
         return fold(first) in self.names or (not _LATIN.search(first.lower()) and skeleton(first) in self.alike)
 
 
+def _trimmed(number: str) -> str:
+    """A number without signs at its end that belong to the text."""
+    number = number.rstrip(" .-/")
+    return number[:-1].rstrip() if number.endswith(")") and number.count("(") < number.count(")") else number
+
+
 def _spans(text: str) -> tuple[list[tuple[str, int, int]], str]:
     """(type, start, end) of everything with a form of its own, and the text with these blanked."""
     found: list[tuple[str, int, int]] = []
@@ -130,8 +138,9 @@ def _spans(text: str) -> tuple[list[tuple[str, int, int]], str]:
         blanks = []
         for m in pattern.finditer(text):
             if ok is None or ok(m):
-                found.append((kind, m.start(), m.end()))
-                blanks.append(m.span())
+                end = m.start() + len(_trimmed(m.group())) if kind == "phone" else m.end()
+                found.append((kind, m.start(), end))
+                blanks.append((m.start(), end))
             elif kind == "email":
                 blanks.append(m.span())
         for a, b in blanks:

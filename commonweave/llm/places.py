@@ -212,7 +212,7 @@ def map_places(values: DataFrame, entries: DataFrame, tree_entries: int = TREE_E
     # each shard of the list against each block of the distinct values; the winners merge
     distinct = values.select("text", "country", "zone").distinct()
     left = distinct.withColumn("b", F.pmod(F.xxhash64("text"), F.lit(blocks))).withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-    right = listed.withColumn("s", F.pmod(F.xxhash64("name"), F.lit(shards)).cast("int")).withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).cast("long"))
+    right = listed.withColumn("s", F.pmod(F.xxhash64("name"), F.lit(shards)).cast("int")).withColumn("b", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
 
     def search(values_pdf: pd.DataFrame, entries_pdf: pd.DataFrame) -> pd.DataFrame:
         places = PlaceList.of([tuple(r) for r in entries_pdf[["entry_id", "name", "country", "other"]].astype(object).where(entries_pdf.notna(), None).itertuples(index=False)])
