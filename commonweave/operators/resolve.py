@@ -53,11 +53,19 @@ def prepare(df: DataFrame, key: str) -> DataFrame:
 
 
 def _blocks(df: DataFrame, bio: bool) -> DataFrame:
-    """(key, priority, value) of each blocking value: 1 addresses, 2 accounts, 3 handles in the biography, 4 words of names."""
+    """(key, priority, value) of each blocking value: 1 addresses, 2 accounts, 3 handles in
+    the biography, 4 words of names. A frequent word alone brings together only records
+    without context; otherwise it does so within a city or an employer."""
     own = F.transform("emails", lambda e: F.struct(F.lit(1).alias("priority"), F.concat(F.lit("e:"), e).alias("value")))
     accounts = F.transform("accounts", lambda a: F.struct(F.lit(2).alias("priority"), F.concat(F.lit("a:"), a).alias("value")))
     named = F.array_compact(F.array(*[F.when(F.col(p).isNotNull(), F.struct(F.lit(3).alias("priority"), F.concat(F.lit(f"a:{p}:"), F.col(p)).alias("value"))) for p in ("github", "twitter", "linkedin")]))
-    words = F.transform(F.filter(F.array_distinct(F.flatten(F.transform("names", lambda n: F.split(n, " ")))), lambda w: F.length(w) >= 2), lambda w: F.struct(F.lit(4).alias("priority"), F.concat(F.lit("n:"), w).alias("value")))
+    city, employer = F.concat(F.lit("|c:"), F.col("city")), F.concat(F.lit("|o:"), F.col("employer"))
+    if bio:  # a record with a city or employer needs one of them to agree, so it is blocked together with them
+        ends = F.when(F.col("city").isNull() & F.col("employer").isNull(), F.array(F.lit(""))).otherwise(F.array_compact(F.array(city, employer)))
+    else:
+        ends = F.array_compact(F.array(F.lit(""), city, employer))
+    single = F.filter(F.array_distinct(F.flatten(F.transform("names", lambda n: F.split(n, " ")))), lambda w: F.length(w) >= 2)
+    words = F.flatten(F.transform(single, lambda w: F.transform(ends, lambda e: F.struct(F.lit(4).alias("priority"), F.concat(F.lit("n:"), w, e).alias("value")))))
     parts = [own, accounts, named, words] if bio else [own, accounts, words]
     return df.select("key", F.explode(F.concat(*parts)).alias("b")).select("key", "b.priority", "b.value").distinct()
 

@@ -7,7 +7,6 @@ import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ..functions import jsonx
 from ..functions import text as X
@@ -78,18 +77,23 @@ def unknown_employers(spark: SparkSession, folder: str) -> DataFrame:
     return R.orphans(person, "employer_company_id", table(spark, folder, "company"), "id").groupBy("employer_company_id").agg(F.count("*").alias("n"))
 
 
+def _merged_into(spark: SparkSession, folder: str) -> DataFrame:
+    """(old_id, new_id): each merged person and the least of its group."""
+    group = table(spark, folder, "person_merge").select("group_id", "person_id").dropna().distinct()
+    least = group.groupBy("group_id").agg(F.min("person_id").alias("new_id"))
+    return group.join(least, "group_id").filter("person_id <> new_id").select(F.col("person_id").alias("old_id"), "new_id")
+
+
 def merged_accounts(spark: SparkSession, folder: str) -> DataFrame:
     """Accounts with persons replaced by the least person of their merge group: writes of a merge, counted."""
-    group = table(spark, folder, "person_merge").select("group_id", "person_id").dropna().distinct()
-    merged = group.withColumn("new_id", F.min("person_id").over(Window.partitionBy("group_id"))).filter("person_id <> new_id").select(F.col("person_id").alias("old_id"), "new_id")
+    merged = _merged_into(spark, folder)
     moved = R.repoint(records(spark, folder, "person_platform_identity", ["person_id", "platform", "handle"]), "person_id", merged)
     return moved.groupBy("person_id").agg(F.count("*").alias("n"), F.count_distinct("platform").alias("platforms"))
 
 
 def merged_persons(spark: SparkSession, folder: str) -> DataFrame:
     """Persons after the merge: who stays active."""
-    group = table(spark, folder, "person_merge").select("group_id", "person_id").dropna().distinct()
-    merged = group.withColumn("new_id", F.min("person_id").over(Window.partitionBy("group_id"))).filter("person_id <> new_id").select(F.col("person_id").alias("old_id"), "new_id")
+    merged = _merged_into(spark, folder)
     return R.merge_persons(records(spark, folder, "person", ["is_active"]), merged).select("id", "is_active", "merged_into")
 
 
