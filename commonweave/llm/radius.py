@@ -18,6 +18,8 @@ from .editmetric import damerau, levenshtein
 BANDS, ROWS = 24, 3
 #: Pivots of the metric space, and the sample of strings that they are chosen from.
 PIVOTS, PIVOT_SAMPLE = 16, 2_000
+#: Strings for each part into which a cell is split.
+PART_STRINGS = 50_000
 _PRIME = (1 << 61) - 1
 
 
@@ -93,7 +95,9 @@ def radius_join(values: DataFrame, radius: int = 1, pivots: int = PIVOTS) -> Dat
     other cell whose pivot is at most 2 * radius farther away; by the triangle
     inequality a pair within the radius meets in the cells of both its strings.
     Within a cell only strings that agree after leaving out up to `radius`
-    letters are compared, which loses no pair. Cells are split by length.
+    letters are compared, which loses no pair. A cell is split by the hash of what
+    is left, into more parts the more strings there are, so that no task's part
+    of it grows with the input.
     """
     values = values.filter("value is not null and value <> ''").select("value").distinct()
     sample = [r[0] for r in values.orderBy(F.xxhash64("value"), "value").limit(PIVOT_SAMPLE).collect()]
@@ -110,30 +114,29 @@ def radius_join(values: DataFrame, radius: int = 1, pivots: int = PIVOTS) -> Dat
                 least = min(far)
                 home = far.index(least)
                 # exchanges count one in damerau() and at most two in levenshtein()
-                rows += [(v, k, k == home) for k, d in enumerate(far) if d <= least + 4 * radius]
-            yield pd.DataFrame(rows, columns=["value", "cell", "home"])
+                split = sorted({zlib.crc32(s.encode()) % parts for s in _shorter(v, radius)})
+                rows += [(v, k, k == home, part) for k, d in enumerate(far) if d <= least + 4 * radius for part in split]
+            yield pd.DataFrame(rows, columns=["value", "cell", "home", "part"])
 
     n = shuffle_partitions(values.sparkSession)
-    cells = values.repartition(n, "value").mapInPandas(assign, "value string, cell int, home boolean")
-    # a cell is one task's work at a time; by first key of its strings it is split further
-    keyed = cells.withColumn("part", F.explode(F.sequence(F.length("value") - radius, F.length("value") + radius)))
+    parts = 1 + values.count() // PART_STRINGS
+    cells = values.repartition(n, "value").mapInPandas(assign, "value string, cell int, home boolean, part int")
 
     def join_cell(pdf: pd.DataFrame) -> pd.DataFrame:
         part = int(pdf["part"].iloc[0])
-        homes = [v for v, h in zip(pdf["value"], pdf["home"]) if h and len(v) == part]
+        left = {v: [s for s in _shorter(v, radius) if zlib.crc32(s.encode()) % parts == part] for v in pdf["value"]}
         index: dict[str, list[str]] = {}
-        for v in pdf["value"]:
-            for s in _shorter(v, radius):
+        for v, kept in left.items():
+            for s in kept:
                 index.setdefault(s, []).append(v)
-        out = set()
-        for v in homes:
-            for s in _shorter(v, radius):
-                for other in index.get(s, ()):
-                    if other != v:
-                        pair = (min(v, other), max(v, other))
-                        if pair not in out and damerau(v, other) <= radius:
-                            out.add(pair)
-        return pd.DataFrame([(a, b, damerau(a, b)) for a, b in sorted(out)], columns=["a", "b", "dist"])
-
-    near = keyed.groupBy("cell", "part").applyInPandas(join_cell, "a string, b string, dist int").distinct()
+        out: dict[tuple[str, str], int] = {}
+        for v in pdf["value"][pdf["home"]]:
+            for s in left[v]:
+                for other in index[s]:
+                    pair = (min(v, other), max(v, other))
+                    if other != v and pair not in out and (d := damerau(v, other)) <= radius:
+                        out[pair] = d
+        return pd.DataFrame([(a, b, d) for (a, b), d in sorted(out.items())], columns=["a", "b", "dist"])
+
+    near = cells.groupBy("cell", "part").applyInPandas(join_cell, "a string, b string, dist int").distinct()
     return same.unionByName(near)
