@@ -151,25 +151,30 @@ def babble(words: list[str]) -> bool:
 
 
 def _strange_runs(block: str) -> Iterator[tuple[bool, list[str]]]:
-    """(opens as lorem ipsum, words) of each run of sentences that hardly use
-    words of running text."""
+    """(is it pseudo-text by its form alone, words) of each run of sentences that
+    hardly use words of running text: it opens as lorem ipsum, or holds nothing but
+    words, some of them again, in an order that does not come again."""
     if not block.isascii():
         return
-    led, run = False, []
+    led, run, plain = False, [], True
     opens = block.lstrip().lower().startswith("lorem ipsum")
-    for sentence in re.split(r"(?<=[.!?])\s+", block):
+    for sentence in [*re.split(r"(?<=[.!?])\s+", block), "the of and to"]:
         words = _WORD.findall(sentence.lower())
         common = sum(w in COMMON for w in words)
         if opens and len(words) > 3 and common <= 0.4 * len(words):
             led, run = True, words
         elif common <= (0.4 if led else 0.2) * len(words):
             run += words
+            plain = plain and bool(_PLAIN.match(sentence))
         elif run:
-            yield led, run
-            led, run = False, []
+            different = len(set(run))
+            again = plain and len(run) >= 8 and different <= 0.93 * len(run) and sum(w in COMMON for w in run) <= 0.12 * len(run) and len(set(zip(run, run[1:]))) > different
+            yield led or again, run
+            led, run, plain = False, [], True
         opens = False
-    if run:
-        yield led, run
+
+
+_PLAIN = re.compile(r"[A-Za-z ,.!?]*\Z")
 
 
 def judge(text: str | None, phrases: Phrases) -> tuple[float, str]:
