@@ -25,7 +25,10 @@ def count_labels(df: DataFrame, text: str, probes: Sequence[tuple[str, str]], ze
     """(label, mentions): texts that match each pattern, a text once for each label.
     One scan serves all patterns; zeros adds the labels without a hit."""
     found = df.select(F.explode(all_labels(text, probes)).alias("label")).groupBy("label").agg(F.count("*").alias("mentions"))
-    if not zeros:
-        return found
-    labels = df.sparkSession.createDataFrame([(label,) for label, _ in probes], "label string")
+    return with_zeros(found, probes) if zeros else found
+
+
+def with_zeros(found: DataFrame, probes: Sequence[tuple[str, str]]) -> DataFrame:
+    """(label, mentions) with a row of 0 for each label that was not found."""
+    labels = found.sparkSession.createDataFrame([(label,) for label, _ in probes], "label string")
     return labels.join(found, "label", "left").select("label", F.coalesce("mentions", F.lit(0)).alias("mentions"))

@@ -22,14 +22,15 @@ def as_of() -> Column:
     return F.to_timestamp(F.lit(AS_OF))
 
 
-def records(spark: SparkSession, folder: str, name: str, columns: list[str] | None = None) -> DataFrame:
+def records(spark: SparkSession, folder: str, name: str, columns: list[str] | None = None, derived: dict[str, Column] | None = None) -> DataFrame:
     """One row for each record of the table, with only the columns named: the choice
-    of rows shuffles what is read, so texts are left out where they are not needed."""
+    of rows shuffles what is read, so texts are left out where they are not needed.
+    What is only derived from a text is derived before that, so the text stays behind."""
     key, order = _ORDER[name]
-    df = table(spark, folder, name)
+    df = table(spark, folder, name).withColumns(derived or {})
     if columns is None:
         return latest_rows(df, [key], [F.col(order)])
-    wanted = list(dict.fromkeys([key, *columns]))
+    wanted = list(dict.fromkeys([key, *columns, *(derived or {})]))
     slim = df.select(*dict.fromkeys([*wanted, order]))
     return latest_rows(slim, [key], [F.col(order)]).select(*wanted)
 

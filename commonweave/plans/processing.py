@@ -14,7 +14,7 @@ from ..functions.similarity import jaro_winkler, vector_of, vector_text
 from ..operators import graph, quality, records as R, resolve as I, scoring
 from ..sources import raw, sinks
 from ..streaming import ingest
-from ..tables import table
+from ..tables import latest_rows, table
 from .frames import SQL_AS_OF, as_of, latest_sql, records
 
 #: Words of the relevance query: what counts as a mention, and where and beside which words it counts more.
@@ -42,16 +42,19 @@ def handle_candidates(spark: SparkSession, folder: str) -> DataFrame:
 
 def text_measures(spark: SparkSession, folder: str) -> DataFrame:
     """Snippet lengths, tokens and mentions of each text."""
-    said = records(spark, folder, "communication", ["content_text", "author_handle_raw", "content_url"]).filter("content_text is not null")
-    return said.select(
-        "id", F.size(X.word_tokens("content_text")).alias("n_tokens"), F.size(F.array_distinct(X.word_tokens("content_text"))).alias("n_words"), F.length(F.substring("content_text", 1, 80)).alias("cut"), X.url_host("content_url").alias("host"), X.redacted("content_text").isNull().alias("is_redacted")
-    )
+    words = X.word_tokens("content_text")
+    derived = {
+        "n_tokens": F.size(words), "n_words": F.size(F.array_distinct(words)), "cut": F.length(F.substring("content_text", 1, 80)), "host": X.url_host("content_url"),
+        "is_redacted": X.redacted("content_text").isNull(), "is_text": F.col("content_text").isNotNull(),
+    }
+    return records(spark, folder, "communication", [], derived).filter("is_text").drop("is_text")
 
 
 def text_relevance(spark: SparkSession, folder: str) -> DataFrame:
     """How relevant each forum item is, and the communities by share of relevant items."""
-    items = records(spark, folder, "raw_reddit_item", ["subreddit", "title", "selftext", "body"])
-    scored = items.withColumn("t", F.concat_ws(" ", "title", "selftext", "body")).withColumn("relevance", scoring.text_relevance("t", "subreddit", WORD, PRIMARY, SECONDARY, BOOSTS, NEGATIVES))
+    items = table(spark, folder, "raw_reddit_item").withColumn("t", F.concat_ws(" ", "title", "selftext", "body"))
+    items = items.select("thing_id", "fetched_at", scoring.text_relevance("t", "subreddit", WORD, PRIMARY, SECONDARY, BOOSTS, NEGATIVES).alias("relevance"))
+    scored = latest_rows(items, ["thing_id"], [F.col("fetched_at")])
     return scored.filter("relevance > 0").select("thing_id", "relevance")
 
 
@@ -113,11 +116,11 @@ def latest_upsert(spark: SparkSession, folder: str) -> DataFrame:
 
 def interaction_edges(spark: SparkSession, folder: str) -> DataFrame:
     """Edges of replies and mentions between forum authors, their strength by different records."""
-    items = records(spark, folder, "raw_reddit_item", ["parent_id", "author", "body", "created_utc"])
-    plain = items.select(F.lower("thing_id").alias("item"), F.lower(F.regexp_replace("parent_id", r"[\s\"]", "")).alias("parent"), F.when(~F.col("author").isin("[deleted]", ""), F.lower("author")).alias("author"), F.timestamp_seconds("created_utc").alias("seen_at"), "body")
+    items = records(spark, folder, "raw_reddit_item", ["parent_id", "author", "created_utc"], {"handles": X.mentioned_handles("body", "author")})
+    plain = items.select(F.lower("thing_id").alias("item"), F.lower(F.regexp_replace("parent_id", r"[\s\"]", "")).alias("parent"), F.when(~F.col("author").isin("[deleted]", ""), F.lower("author")).alias("author"), F.timestamp_seconds("created_utc").alias("seen_at"), "handles")
     replies = graph.reply_edges(plain, "item", "parent", "author")
     known = plain.filter("author is not null").select(F.col("author").alias("handle"), F.col("author").alias("person")).distinct()
-    said = plain.filter("author is not null and body is not null").select("author", F.col("item").alias("record_id"), "seen_at", X.mentioned_handles("body", "author").alias("handles"))
+    said = plain.filter("author is not null and size(handles) > 0").select("author", F.col("item").alias("record_id"), "seen_at", "handles")
     edges = R.edges_from_observations(replies.unionByName(graph.mention_edges(said, known)))
     return edges.select("src", "dst", "edge_type", "strength")
 
