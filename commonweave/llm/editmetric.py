@@ -94,6 +94,12 @@ def damerau(a: str, b: str) -> int:
     return d[-1][-1]
 
 
+def within(a: str, b: str, radius: int) -> bool:
+    """damerau(a, b) <= radius; most pairs are decided by levenshtein(), which is at most twice as large."""
+    far = levenshtein(a, b, 2 * radius)
+    return far <= radius or far <= 2 * radius and damerau(a, b) <= radius
+
+
 class BkTree:
     """Entries in a tree by their edit distances; every entry within a threshold
     of a query is found.

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from ..session import cut
 from ..tables import table
-from .pairing import LINKED, build_records, candidate_pairs, entities, fit_on_weak_labels, pair_features, score_pairs
-from .radius import minhash_links, radius_join
+from .pairing import LINKED, build_records, candidate_pairs, entities, family_links, fit_on_weak_labels, pair_features, score_pairs
+from .radius import minhash_links
 
 
 def known_pairs(spark: SparkSession, folder: str) -> DataFrame:
@@ -51,9 +51,7 @@ def p1_found(spark: SparkSession, folder: str) -> DataFrame:
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     """Pairs of records of one person or organisation under different spellings."""
     records, given, alias = build_records(spark, folder)
-    near = radius_join(records.select(F.explode("cores").alias("value")))
-    links = near.select(F.lit("name").alias("attr"), "a", "b")
-    features = cut(pair_features(candidate_pairs(records, links, across=False), records, given, alias))
+    features = cut(pair_features(candidate_pairs(records, family_links(records), across=False), records, given, alias))
     known = known_pairs(spark, folder)
     model = fit_on_weak_labels(features.filter("a like 'github:%' and b like 'person:%'"), known)
     linked = score_pairs(features, model).filter(F.col("probability") >= LINKED).select("a", "b")

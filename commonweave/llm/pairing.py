@@ -21,6 +21,7 @@ from .people import _BIO, ROLES, Lexicon, core_key, given_fit, handle_base, hand
 from .pii_queries import learned_given_names
 from .place_queries import place_values
 from .places import map_places
+from .radius import radius_join
 
 #: Records that share a blocking value up to which they are paired without more
 #: agreement; above it a pair must agree in one more value.
@@ -264,6 +265,16 @@ def candidate_pairs(records: DataFrame, links: DataFrame, across: bool) -> DataF
     return met.select(F.least("ka", "kb").alias("a"), F.greatest("ka", "kb").alias("b")).distinct()
 
 
+def family_links(records: DataFrame) -> DataFrame:
+    """links(attr 'name', a, b) of family names as far apart as compare_records lets
+    them be: two edits from 7 letters on, for organisations from 5, else one."""
+    near = radius_join(records.select(F.explode("cores").alias("value")), 2)
+    orgs = records.filter("is_org").select(F.explode("cores").alias("a")).distinct().withColumn("org_a", F.lit(True))
+    short = F.least(F.length("a"), F.length("b"))
+    far = near.join(orgs, "a", "left").join(orgs.select(F.col("a").alias("b"), F.col("org_a").alias("org_b")), "b", "left")
+    return far.filter((F.col("dist") <= 1) | (short >= 7) | ((short >= 5) & F.col("org_a") & F.col("org_b"))).select(F.lit("name").alias("attr"), "a", "b")
+
+
 def pair_features(pairs: DataFrame, records: DataFrame, given: list[str], alias: list[tuple[str, str]]) -> DataFrame:
     """(a, b, mail, fit, x): shared personal e-mail, how the given names fit, and the
     features in the order of FEATURES; pairs whose names exclude each other have fit -1."""
@@ -288,18 +299,18 @@ def pair_features(pairs: DataFrame, records: DataFrame, given: list[str], alias:
 
 def compare_records(r, lexicon: Lexicon) -> tuple[int, int, list[float]]:
     """(fit, shared e-mail, features) of two records side by side."""
-    from .editmetric import levenshtein
+    from .editmetric import levenshtein, within
 
     mail = int(bool(set(r.a_emails) & set(r.b_emails)))
     ca, cb = set(r.a_cores), set(r.b_cores)
     if r.a_is_org or r.b_is_org:
-        near = bool(ca & cb) or any(len(p) >= 5 and levenshtein(p, q, 2) <= 2 for p in ca for q in cb)
+        near = bool(ca & cb) or any(max(len(p), len(q)) >= 5 and within(p, q, 2 if min(len(p), len(q)) >= 5 else 1) for p in ca for q in cb)
         kinds = set(r.a_org_kind.split()) ^ set(r.b_org_kind.split()) if r.a_org_kind and r.b_org_kind else set()
         apart = r.a_city >= 0 and r.b_city >= 0 and r.a_city != r.b_city
         fit = 9 if r.a_is_org and r.b_is_org and near and not kinds and not apart else -1
         return fit, 0, [0.0] * len(FEATURES)
     same = bool(ca & cb)
-    slip = not same and any(min(len(p), len(q)) >= 5 and levenshtein(p, q, 2) <= (2 if min(len(p), len(q)) >= 7 else 1) for p in ca for q in cb)
+    slip = not same and any(min(len(p), len(q)) >= 5 and within(p, q, 2 if min(len(p), len(q)) >= 7 else 1) for p in ca for q in cb)
     fit = given_fit(list(r.a_givens), list(r.b_givens), lexicon)
     missing = not ca or not cb
     if not missing and not same and not slip:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import shuffle_partitions
-from .editmetric import damerau, levenshtein
+from .editmetric import damerau, levenshtein, within
 
 #: Bands of MinHash rows: two strings of Jaccard similarity 0.5 meet with probability 0.96.
 BANDS, ROWS = 24, 3
@@ -119,23 +119,23 @@ def radius_join(values: DataFrame, radius: int = 1, pivots: int = PIVOTS) -> Dat
             yield pd.DataFrame(rows, columns=["value", "cell", "home", "part"])
 
     n = shuffle_partitions(values.sparkSession)
-    parts = 1 + values.count() // PART_STRINGS
+    parts = 1 + values.count() * radius // PART_STRINGS
     cells = values.repartition(n, "value").mapInPandas(assign, "value string, cell int, home boolean, part int")
 
     def join_cell(pdf: pd.DataFrame) -> pd.DataFrame:
         part = int(pdf["part"].iloc[0])
-        left = {v: [s for s in _shorter(v, radius) if zlib.crc32(s.encode()) % parts == part] for v in pdf["value"]}
+        kept = lambda v: [s for s in _shorter(v, radius) if parts == 1 or zlib.crc32(s.encode()) % parts == part]
+        # only strings at home are indexed, which holds a cell's memory to its own share
         index: dict[str, list[str]] = {}
-        for v, kept in left.items():
-            for s in kept:
+        for v in pdf["value"][pdf["home"]]:
+            for s in kept(v):
                 index.setdefault(s, []).append(v)
         out: dict[tuple[str, str], int] = {}
-        for v in pdf["value"][pdf["home"]]:
-            for s in left[v]:
-                for other in index[s]:
-                    pair = (min(v, other), max(v, other))
-                    if other != v and pair not in out and (d := damerau(v, other)) <= radius:
-                        out[pair] = d
+        for v in pdf["value"]:
+            for other in {o for s in kept(v) for o in index.get(s, ())}:
+                pair = (min(v, other), max(v, other))
+                if other != v and pair not in out and within(v, other, radius):
+                    out[pair] = damerau(v, other)
         return pd.DataFrame([(a, b, d) for (a, b), d in sorted(out.items())], columns=["a", "b", "dist"])
 
     near = cells.groupBy("cell", "part").applyInPandas(join_cell, "a string, b string, dist int").distinct()

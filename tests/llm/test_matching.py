@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import random
+from types import SimpleNamespace
 
 import numpy as np
 
 from commonweave.llm.editmetric import damerau
-from commonweave.llm.pairing import FEATURES, entities, fit_logistic
+from commonweave.llm.pairing import FEATURES, compare_records, entities, family_links, fit_logistic
 from commonweave.llm.people import Lexicon, given_fit, handle_base, handle_of, parse_name
 from commonweave.llm.radius import minhash_links, radius_join
 
@@ -65,3 +66,21 @@ def test_entities(spark):
     got = {r["key"]: r["entity"] for r in entities(spark.createDataFrame(chain, "a string, b string")).collect()}
     assert {got[f"n{i}"] for i in range(13)} == {"n0"} and got["y"] == "x"
     assert entities(spark.createDataFrame([], "a string, b string")).count() == 0
+
+
+RECORDS = "key string, kind string, name string, is_org boolean, org_kind string, givens array<string>, cores array<string>, emails array<string>, accounts array<string>, bases array<string>, city long, land string, heads array<string>"
+
+
+def record(key, cores=(), givens=(), org=False, org_kind="", emails=(), bases=(), city=-1, land=None, heads=()):
+    kind = key.split(":")[0]
+    return (key, kind, key, org, org_kind, list(givens), list(cores), list(emails), [], list(bases), city, land, list(heads))
+
+
+def test_family_links_reach_as_far_as_the_classifier(spark):
+    names = ["bividorain", "bviidorian", "findevuuvski", "findevuvksi", "abcde", "axcye", "abced"]
+    orgs = ["zebit", "zobat"]
+    rows = [record(f"person:{n}", [n]) for n in names] + [record(f"github:{n}", [n], org=True) for n in orgs]
+    got = {(r["a"], r["b"]) for r in family_links(spark.createDataFrame(rows, RECORDS)).filter("a <> b").collect()}
+    assert got == {("bividorain", "bviidorian"), ("findevuuvski", "findevuvksi"), ("abcde", "abced"), ("zebit", "zobat")}
+    both = SimpleNamespace(**{f"{p}_{c}": v for p, n in (("a", "bividorain"), ("b", "bviidorian")) for c, v in zip([c.split(" ")[0] for c in RECORDS.split(", ")], record(f"person:{n}", [n], ["benedikt"]))}, a_common=1, b_common=1)
+    assert compare_records(both, LEXICON)[0] == 3
