@@ -10,12 +10,16 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import shuffle_partitions
 from .editmetric import damerau, levenshtein, within
 
-#: Bands of MinHash rows: two strings of Jaccard similarity 0.5 meet with probability 0.96.
-BANDS, ROWS = 24, 3
+#: Bands of MinHash rows: two strings of Jaccard similarity 0.35 in letter pairs meet with probability 0.97.
+BANDS, ROWS = 80, 3
+#: Least length of strings that may differ, and the length up to which letters are left out in place of
+#: bands: two edits change too many of a short string's letter pairs for MinHash to find it.
+LEAST, SHORT = 5, 8
 #: Pivots of the metric space, and the sample of strings that they are chosen from.
 PIVOTS, PIVOT_SAMPLE = 16, 2_000
 #: Strings for each part into which a cell is split.
@@ -29,35 +33,45 @@ def _hashes() -> tuple[np.ndarray, np.ndarray]:
 
 
 def bands(value: str, a: np.ndarray, b: np.ndarray) -> list[int]:
-    """One number for each band of the MinHash signature of the letter triples."""
-    padded = f"^^{value}$$"
-    grams = np.array([zlib.crc32(padded[i : i + 3].encode()) for i in range(len(padded) - 2)], dtype=np.uint64)
+    """One number for each band of the MinHash signature of the letter pairs."""
+    padded = f"^{value}$"
+    grams = np.array([zlib.crc32(padded[i : i + 2].encode()) for i in range(len(padded) - 1)], dtype=np.uint64)
     signature = ((grams[:, None] * a[None, :] + b[None, :]) % np.uint64(4294967291)).min(axis=0)
     return [zlib.crc32(signature[k * ROWS : (k + 1) * ROWS].tobytes()) for k in range(BANDS)]
 
 
+@F.pandas_udf(T.IntegerType())
+def _damerau(a: pd.Series, b: pd.Series) -> pd.Series:
+    return pd.Series([damerau(x, y) for x, y in zip(a, b)], dtype="int32")
+
+
 def minhash_links(values: DataFrame, radius: int = 2) -> DataFrame:
-    """(attr, a, b, dist) for values(attr, value), distinct: pairs a < b that meet in
-    a MinHash band of one attribute and lie within `radius` edits, and every (a, a)
-    with dist 0. Only distinct values are blocked, so a value that many records
-    share is one row here; null and empty values are left out."""
+    """(attr, a, b, dist) for values(attr, value), distinct: pairs a < b of at least
+    LEAST letters that meet in a MinHash band of one attribute and lie within
+    `radius` under damerau(), and every (a, a) with dist 0. A pair whose shorter
+    string has up to SHORT letters meets in what is left of both without up to
+    `radius` letters, and none is lost. Only distinct values are blocked, so a
+    value that many records share is one row here; null and empty values are left out."""
     values = values.filter("value is not null and value <> ''").distinct()
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         a, b = _hashes()
         for pdf in batches:
-            found = [bands(v, a, b) for v in pdf["value"]]
-            out = pdf.loc[pdf.index.repeat(BANDS)].reset_index(drop=True)
-            out["band"] = np.array([k for _ in found for k in range(BANDS)], dtype=np.int32)
-            out["bucket"] = np.array([x for f in found for x in f], dtype=np.int64)
+            found = [
+                ([(-1, zlib.crc32(s.encode())) for s in _shorter(v, radius)] if LEAST <= len(v) <= SHORT + radius else []) + (list(enumerate(bands(v, a, b))) if len(v) > SHORT else [])
+                for v in pdf["value"]
+            ]
+            out = pdf.loc[pdf.index.repeat([len(f) for f in found])].reset_index(drop=True)
+            out["band"] = np.array([k for f in found for k, _ in f], dtype=np.int32)
+            out["bucket"] = np.array([x for f in found for _, x in f], dtype=np.int64)
             yield out
 
     signed = values.repartition(shuffle_partitions(values.sparkSession), "attr", "value").mapInPandas(sign, "attr string, value string, band int, bucket long")
     left = signed.select("attr", "band", "bucket", F.col("value").alias("a"))
     right = signed.select("attr", "band", "bucket", F.col("value").alias("b"))
-    close = F.when(F.least(F.length("a"), F.length("b")) >= 8, F.lit(radius)).when(F.least(F.length("a"), F.length("b")) >= 5, F.lit(min(radius, 2))).otherwise(F.lit(0))
+    # an exchange is one edit under damerau() and two under levenshtein()
     met = left.join(right, ["attr", "band", "bucket"]).filter((F.col("a") < F.col("b")) & (F.abs(F.length("a") - F.length("b")) <= radius))
-    near = met.select("attr", "a", "b").distinct().withColumn("dist", F.levenshtein("a", "b", radius)).filter((F.col("dist") >= 0) & (F.col("dist") <= close))
+    near = met.filter(F.levenshtein("a", "b", 2 * radius) >= 0).select("attr", "a", "b").distinct().withColumn("dist", _damerau("a", "b")).filter(F.col("dist") <= radius)
     same = values.select("attr", F.col("value").alias("a"), F.col("value").alias("b"), F.lit(0).alias("dist"))
     return same.unionByName(near)
 

@@ -7,7 +7,7 @@ from types import SimpleNamespace
 
 import numpy as np
 
-from commonweave.llm.editmetric import damerau
+from commonweave.llm.editmetric import damerau, within
 from commonweave.llm.pairing import FEATURES, compare_records, entities, family_links, fit_logistic
 from commonweave.llm.people import Lexicon, given_fit, handle_base, handle_of, parse_name
 from commonweave.llm.radius import minhash_links, radius_join
@@ -84,3 +84,24 @@ def test_family_links_reach_as_far_as_the_classifier(spark):
     assert got == {("bividorain", "bviidorian"), ("findevuuvski", "findevuvksi"), ("abcde", "abced"), ("zebit", "zobat")}
     both = SimpleNamespace(**{f"{p}_{c}": v for p, n in (("a", "bividorain"), ("b", "bviidorian")) for c, v in zip([c.split(" ")[0] for c in RECORDS.split(", ")], record(f"person:{n}", [n], ["benedikt"]))}, a_common=1, b_common=1)
     assert compare_records(both, LEXICON)[0] == 3
+
+
+def test_minhash_recall_of_the_production_radius(spark):
+    random.seed(3)
+    edits = {
+        "exchange": lambda w, i: w[:i] + w[i + 1] + w[i] + w[i + 2 :], "substitution": lambda w, i: w[:i] + "x" + w[i + 1 :],
+        "deletion": lambda w, i: w[:i] + w[i + 1 :], "insertion": lambda w, i: w[:i] + "y" + w[i:],
+    }
+    words = []
+    for n in (*range(5, 13), 15):
+        for _ in range(12):
+            w = "".join(random.choice("abcdefghijklmnop") for _ in range(n))
+            words += [w, *(edits[k](w, random.randrange(n - 1)) for k in edits)]
+            words += [edits[k](edits[j](w, random.randrange(n - 1)), random.randrange(n - 2)) for j, k in (("deletion", "substitution"), ("exchange", "exchange"), ("exchange", "deletion"))]
+    words = sorted(set(words))
+    got = {(r["a"], r["b"]) for r in minhash_links(spark.createDataFrame([("name", w) for w in words], "attr string, value string")).filter("dist > 0").collect()}
+    want = {(a, b) for i, a in enumerate(words) for b in words[i + 1 :] if min(len(a), len(b)) >= 5 and within(a, b, 2)}
+    assert got <= want
+    for low, high in ((5, 5), (6, 6), (7, 8), (9, 9), (10, 12), (13, 99)):
+        cell = {(a, b) for a, b in want if low <= min(len(a), len(b)) <= high}
+        assert len(cell & got) >= 0.9 * len(cell), (low, len(cell), len(cell & got))
