@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from ..session import cut
 from ..tables import table
-from .pairing import LINKED, build_records, candidate_pairs, entities, family_links, fit_on_weak_labels, pair_features, score_pairs
-from .radius import minhash_links
+from .pairing import LINKED, build_records, candidate_pairs, entities, family_links, fit_on_weak_labels, handle_values, pair_features, score_pairs
+from .radius import minhash_links, radius_join
 
 
 def known_pairs(spark: SparkSession, folder: str) -> DataFrame:
@@ -24,7 +24,8 @@ def match_profiles(spark: SparkSession, folder: str) -> DataFrame:
     MinHash blocking brings together, with the calibrated probability of being one human."""
     records, given, alias = build_records(spark, folder)
     values = records.select(F.explode("cores").alias("value")).select(F.lit("name").alias("attr"), "value")
-    pairs = candidate_pairs(records, minhash_links(values), across=True)
+    links = minhash_links(values).unionByName(minhash_links(handle_values(records), 1))
+    pairs = candidate_pairs(records, links, across=True)
     features = cut(pair_features(pairs, records, given, alias))
     return score_pairs(features, fit_on_weak_labels(features, known_pairs(spark, folder)))
 
@@ -51,7 +52,8 @@ def p1_found(spark: SparkSession, folder: str) -> DataFrame:
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     """Pairs of records of one person or organisation under different spellings."""
     records, given, alias = build_records(spark, folder)
-    features = cut(pair_features(candidate_pairs(records, family_links(records), across=False), records, given, alias))
+    near = radius_join(handle_values(records).select("value")).select(F.lit("base").alias("attr"), "a", "b")
+    features = cut(pair_features(candidate_pairs(records, family_links(records).unionByName(near), across=False), records, given, alias))
     known = known_pairs(spark, folder)
     model = fit_on_weak_labels(features.filter("a like 'github:%' and b like 'person:%'"), known)
     linked = score_pairs(features, model).filter(F.col("probability") >= LINKED).select("a", "b")

@@ -265,6 +265,11 @@ def candidate_pairs(records: DataFrame, links: DataFrame, across: bool) -> DataF
     return met.select(F.least("ka", "kb").alias("a"), F.greatest("ka", "kb").alias("b")).distinct()
 
 
+def handle_values(records: DataFrame) -> DataFrame:
+    """(attr 'base', value): handles and e-mail names of which compare_records takes those one edit apart as one."""
+    return records.select(F.explode("bases").alias("value")).filter(F.length("value") >= 8).select(F.lit("base").alias("attr"), "value").distinct()
+
+
 def family_links(records: DataFrame) -> DataFrame:
     """links(attr 'name', a, b) of family names as far apart as compare_records lets
     them be: two edits from 7 letters on, for organisations from 5, else one."""

@@ -17,6 +17,8 @@ from .editmetric import damerau, levenshtein, within
 
 #: Bands of MinHash rows: two strings of Jaccard similarity 0.35 in letter pairs meet with probability 0.97.
 BANDS, ROWS = 80, 3
+#: Bands for one edit, which leaves a similarity of 0.5: met with probability 0.96.
+FEW_BANDS = 24
 #: Least length of strings that may differ, and the length up to which letters are left out in place of
 #: bands: two edits change too many of a short string's letter pairs for MinHash to find it.
 LEAST, SHORT = 5, 8
@@ -37,7 +39,7 @@ def bands(value: str, a: np.ndarray, b: np.ndarray) -> list[int]:
     padded = f"^{value}$"
     grams = np.array([zlib.crc32(padded[i : i + 2].encode()) for i in range(len(padded) - 1)], dtype=np.uint64)
     signature = ((grams[:, None] * a[None, :] + b[None, :]) % np.uint64(4294967291)).min(axis=0)
-    return [zlib.crc32(signature[k * ROWS : (k + 1) * ROWS].tobytes()) for k in range(BANDS)]
+    return [zlib.crc32(signature[k * ROWS : (k + 1) * ROWS].tobytes()) for k in range(len(a) // ROWS)]
 
 
 @F.pandas_udf(T.IntegerType())
@@ -56,6 +58,8 @@ def minhash_links(values: DataFrame, radius: int = 2) -> DataFrame:
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         a, b = _hashes()
+        n = BANDS if radius > 1 else FEW_BANDS
+        a, b = a[: n * ROWS], b[: n * ROWS]
         for pdf in batches:
             found = [
                 ([(-1, zlib.crc32(s.encode())) for s in _shorter(v, radius)] if LEAST <= len(v) <= SHORT + radius else []) + (list(enumerate(bands(v, a, b))) if len(v) > SHORT else [])

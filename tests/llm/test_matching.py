@@ -8,7 +8,7 @@ from types import SimpleNamespace
 import numpy as np
 
 from commonweave.llm.editmetric import damerau, within
-from commonweave.llm.pairing import FEATURES, compare_records, entities, family_links, fit_logistic
+from commonweave.llm.pairing import FEATURES, candidate_pairs, compare_records, entities, family_links, fit_logistic
 from commonweave.llm.people import Lexicon, given_fit, handle_base, handle_of, parse_name
 from commonweave.llm.radius import minhash_links, radius_join
 
@@ -105,3 +105,18 @@ def test_minhash_recall_of_the_production_radius(spark):
     for low, high in ((5, 5), (6, 6), (7, 8), (9, 9), (10, 12), (13, 99)):
         cell = {(a, b) for a, b in want if low <= min(len(a), len(b)) <= high}
         assert len(cell & got) >= 0.9 * len(cell), (low, len(cell), len(cell & got))
+
+
+def test_near_handles_make_candidates_without_a_name(spark, monkeypatch):
+    from commonweave.llm import identity_queries as Q
+
+    rows = [record("github:1", bases=["drutolultin"]), record("person:1", ["kost"], ["anna"], bases=["drutolultim"]), record("person:2", ["bern"], ["felix"], bases=["vitivaltz"])]
+    df = spark.createDataFrame(rows, RECORDS)
+    seen = []
+    monkeypatch.setattr(Q, "build_records", lambda *_: (df, [], []))
+    monkeypatch.setattr(Q, "pair_features", lambda pairs, *_: seen.extend(pairs.collect()) or pairs.selectExpr("a", "b", "0 AS mail", "0 AS fit", "array() AS x"))
+    monkeypatch.setattr(Q, "known_pairs", lambda *_: None)
+    monkeypatch.setattr(Q, "fit_on_weak_labels", lambda *_: None)
+    monkeypatch.setattr(Q, "score_pairs", lambda *_: None)
+    Q.match_profiles(spark, "")
+    assert [tuple(p) for p in seen] == [("github:1", "person:1")]
