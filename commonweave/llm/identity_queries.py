@@ -25,7 +25,7 @@ def match_profiles(spark: SparkSession, folder: str) -> DataFrame:
     records, given, alias = build_records(spark, folder)
     values = records.select(F.explode("cores").alias("value")).select(F.lit("name").alias("attr"), "value")
     links = minhash_links(values).unionByName(minhash_links(handle_values(records), 1))
-    pairs = candidate_pairs(records, links, across=True)
+    pairs = candidate_pairs(records, links, True, given, alias)
     features = cut(pair_features(pairs, records, given, alias))
     return score_pairs(features, fit_on_weak_labels(features, known_pairs(spark, folder)))
 
@@ -53,7 +53,7 @@ def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     """Pairs of records of one person or organisation under different spellings."""
     records, given, alias = build_records(spark, folder)
     near = radius_join(handle_values(records).select("value")).select(F.lit("base").alias("attr"), "a", "b")
-    features = cut(pair_features(candidate_pairs(records, family_links(records).unionByName(near), across=False), records, given, alias))
+    features = cut(pair_features(candidate_pairs(records, family_links(records).unionByName(near), False, given, alias), records, given, alias))
     known = known_pairs(spark, folder)
     model = fit_on_weak_labels(features.filter("a like 'github:%' and b like 'person:%'"), known)
     linked = score_pairs(features, model).filter(F.col("probability") >= LINKED).select("a", "b")

@@ -12,10 +12,11 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import cut, shuffle_partitions
 from ..tables import latest_rows, table
-from .editmetric import fold
+from .editmetric import fold, skeleton
 from .merge_queries import STAND_INS
 from .people import _BIO, ROLES, Lexicon, core_key, given_fit, handle_base, handle_of, parse_name, squash
 from .pii_queries import learned_given_names
@@ -23,9 +24,6 @@ from .place_queries import place_values
 from .places import map_places
 from .radius import radius_join
 
-#: Records that share a blocking value up to which they are paired without more
-#: agreement; above it a pair must agree in one more value.
-HOT = 40
 #: Labelled pairs used for fitting, chosen by hash; the classifier has few weights.
 LABELLED = 60_000
 #: Companies and nicknames sent to the workers; longer lists are refused.
@@ -224,44 +222,60 @@ def _land(country: str | None, entry_land: str | None) -> str | None:
     return next((land for land, names in COUNTRY_NAMES.items() if word in names.split() or word.replace(".", "") in names.split()), None)
 
 
-def candidate_pairs(records: DataFrame, links: DataFrame, across: bool) -> DataFrame:
+def given_keys(givens: list[str], lexicon: Lexicon) -> list[str]:
+    """First letters of which two records have one in common wherever given_fit() is
+    1 or more: of each given name, of its aliases, and its second letter, which a
+    slip in the first one leaves."""
+    out = set()
+    for g in givens:
+        out |= {skeleton(g)[:1], skeleton(g[:1]), skeleton(g[1:2])} | {skeleton(z[:1]) for z in lexicon.alias.get(g, ())}
+    return sorted(out - {""})
+
+
+def candidate_pairs(records: DataFrame, links: DataFrame, across: bool, given: list[str] = (), alias: list[tuple[str, str]] = ()) -> DataFrame:
     """(a, b) keys of records to compare: they share an e-mail address, an account,
     a handle without affixes, or family names that `links`(attr 'name', a, b) ties.
 
-    Where more than HOT records share a value, a pair must agree in one more
-    value (city, employer, e-mail, handle or given name); a pair that agrees in
-    a frequent value alone is never linked by the classifier. across: only
-    pairs of a github_profile and a person.
+    Of persons tied by a name alone, only those whose given names exclude each
+    other (given_fit -1) are left out, by keys that hold at every size; the
+    classifier never links those. Organisations of one name, kind and city are
+    all linked, so each is paired with the least key of them, and only the least
+    keys with each other. across: only pairs of a github_profile and a person,
+    of which no organisation is one.
     """
-    more = F.array_distinct(
-        F.concat(
-            F.when(F.col("city") >= 0, F.array(F.concat(F.lit("c"), F.col("city").cast("string")))).otherwise(F.array().cast("array<string>")),
-            F.transform("heads", lambda x: F.concat(F.lit("o"), x)), F.transform("emails", lambda x: F.concat(F.lit("e"), x)),
-            F.transform("bases", lambda x: F.concat(F.lit("h"), x)), F.transform(F.filter("givens", lambda x: F.length(x) > 1), lambda x: F.concat(F.lit("g"), x)),
-        )
-    )
-    slim = records.select("key", "kind", "cores", "emails", "accounts", "bases", more.alias("more"))
-    valued = slim.select(
-        "key", "kind", "more",
-        F.explode(F.concat(
-            F.transform("cores", lambda x: F.struct(F.lit("name").alias("attr"), x.alias("v"))), F.transform("emails", lambda x: F.struct(F.lit("mail").alias("attr"), x.alias("v"))),
-            F.transform("accounts", lambda x: F.struct(F.lit("acct").alias("attr"), x.alias("v"))), F.transform("bases", lambda x: F.struct(F.lit("base").alias("attr"), x.alias("v"))),
-        )).alias("x"),
-    ).select("key", "kind", "more", "x.attr", "x.v")
-    valued = cut(valued)
+    sent = records.sparkSession.sparkContext.broadcast((list(given), list(alias)))
+
+    @F.pandas_udf(T.ArrayType(T.StringType()))
+    def keys(givens: pd.Series) -> pd.Series:
+        lexicon = Lexicon(*sent.value)
+        return pd.Series([given_keys(list(g), lexicon) for g in givens], dtype=object)
+
+    tagged = lambda attr, column: F.transform(column, lambda x: F.struct(F.lit(attr).alias("attr"), x.alias("v")))
+    slim = records.filter("not is_org").select("key", "kind", "cores", "emails", "accounts", "bases", keys("givens").alias("more"))
+    valued = slim.select("key", "kind", "more", F.explode(F.concat(tagged("name", "cores"), tagged("mail", "emails"), tagged("acct", "accounts"), tagged("base", "bases"))).alias("x"))
+    valued = cut(valued.select("key", "kind", "more", "x.attr", "x.v"))
     counts = valued.groupBy("attr", "v").agg(F.count("*").alias("n"))
-    tied = links.select("attr", F.col("a").alias("va"), F.col("b").alias("vb"))
+    tied = links.select("attr", F.col("a").alias("va"), F.col("b").alias("vb")).filter("attr = 'name' or va <> vb")
     alone = counts.filter("attr <> 'name' and n > 1").select("attr", F.col("v").alias("va"), F.col("v").alias("vb"))
-    ca = counts.select("attr", F.col("v").alias("va"), F.col("n").alias("na"))
-    cb = counts.select("attr", F.col("v").alias("vb"), F.col("n").alias("nb"))
-    tied = tied.unionByName(alone).join(ca, ["attr", "va"]).join(cb, ["attr", "vb"]).filter("va <> vb or na > 1").withColumn("hot", F.greatest("na", "nb") > HOT)
-    plain = F.array(F.lit(""))
-    left = valued.select("attr", F.col("v").alias("va"), F.col("key").alias("ka"), F.col("kind").alias("kinda"), "more").join(tied, ["attr", "va"])
-    left = left.select("attr", "vb", "ka", "kinda", F.explode(F.when(F.col("hot"), F.col("more")).otherwise(plain)).alias("q"))
-    right = valued.select("attr", F.col("v").alias("vb"), F.col("key").alias("kb"), F.col("kind").alias("kindb"), F.explode(F.concat(plain, "more")).alias("q"))
+    tied = tied.unionByName(alone)
+    # a record without given names meets every one: '<' and '>' stand for such a record on the left and on the right
+    plain, bare, named = F.array(F.lit("")), F.size("more") == 0, F.col("attr") == "name"
+    left = valued.join(tied.withColumnRenamed("va", "v"), ["attr", "v"]).select(
+        "attr", "vb", F.col("key").alias("ka"), F.col("kind").alias("kinda"),
+        F.explode(F.when(~named, plain).when(bare, F.array(F.lit("<"), F.lit("<>"))).otherwise(F.concat("more", F.array(F.lit(">"))))).alias("q"),
+    )
+    right = valued.select(
+        "attr", F.col("v").alias("vb"), F.col("key").alias("kb"), F.col("kind").alias("kindb"),
+        F.explode(F.when(~named, plain).when(bare, F.array(F.lit(">"), F.lit("<>"))).otherwise(F.concat("more", F.array(F.lit("<"))))).alias("q"),
+    )
     met = left.join(right, ["attr", "vb", "q"]).filter("ka <> kb")
     if across:
-        met = met.filter("kinda <> kindb")
+        return met.filter("kinda <> kindb").select(F.least("ka", "kb").alias("a"), F.greatest("ka", "kb").alias("b")).distinct()
+    orgs = records.filter("is_org").select("key", "org_kind", "city", F.explode("cores").alias("core"))
+    least = cut(orgs.groupBy("core", "org_kind", "city").agg(F.min("key").alias("ka")))
+    star = orgs.join(least, ["core", "org_kind", "city"]).select("ka", F.col("key").alias("kb"))
+    ends = least.select(F.col("core").alias("va"), "ka").join(tied.filter(named).select("va", "vb"), "va").join(least.select(F.col("core").alias("vb"), F.col("ka").alias("kb")), "vb").select("ka", "kb")
+    met = met.select("ka", "kb").unionByName(star).unionByName(ends).filter("ka <> kb")
     return met.select(F.least("ka", "kb").alias("a"), F.greatest("ka", "kb").alias("b")).distinct()
 
 

@@ -120,3 +120,21 @@ def test_near_handles_make_candidates_without_a_name(spark, monkeypatch):
     monkeypatch.setattr(Q, "score_pairs", lambda *_: None)
     Q.match_profiles(spark, "")
     assert [tuple(p) for p in seen] == [("github:1", "person:1")]
+
+
+def test_frequent_family_names_lose_no_candidate(spark):
+    givens = [["anna"], ["hanna"], ["a"], [], ["mike"], ["michael"], ["m"], ["felix"], ["nana"], ["wera"], ["vera"]]
+    rows = [record(f"{('person', 'github')[i % 2]}:{i:03d}", ["kost"], givens[i % len(givens)]) for i in range(99)]
+    rows += [record(f"github:o{i:02d}", ["kost"], org=True, org_kind=("", "labs", "tech")[i % 3], city=(-1, 1, 2)[i // 3 % 3]) for i in range(60)]
+    df = spark.createDataFrame(rows, RECORDS)
+    got = {(r["a"], r["b"]) for r in candidate_pairs(df, family_links(df), False, ["anna"], [("mike", "michael")]).collect()}
+    lexicon = Lexicon(["anna"], [("mike", "michael")])
+    persons = [r for r in rows if not r[3]]
+    want = {(min(r[0], s[0]), max(r[0], s[0])) for r in persons for s in persons if r[0] != s[0] and given_fit(r[5], s[5], lexicon) >= 0}
+    assert want <= got and not any(a[7] == "o" or b[7] == "o" for a, b in want)
+    stars = [p for p in got if p[0].startswith("github:o")]
+    classes = {(r[4], r[10]) for r in rows if r[3]}
+    keyed = {r[0]: (r[4], r[10]) for r in rows if r[3]}
+    inside = [p for p in stars if keyed[p[0]] == keyed[p[1]]]
+    assert len(inside) == 60 - len(classes) and len(stars) - len(inside) == len(classes) * (len(classes) - 1) // 2
+    assert candidate_pairs(df, family_links(df), True, ["anna"], []).filter("a like 'github:o%'").count() == 0
