@@ -75,7 +75,10 @@ def minhash_links(values: DataFrame, radius: int = 2) -> DataFrame:
     right = signed.select("attr", "band", "bucket", F.col("value").alias("b"))
     # an exchange is one edit under damerau() and two under levenshtein()
     met = left.join(right, ["attr", "band", "bucket"]).filter((F.col("a") < F.col("b")) & (F.abs(F.length("a") - F.length("b")) <= radius))
-    near = met.filter(F.levenshtein("a", "b", 2 * radius) >= 0).select("attr", "a", "b").distinct().withColumn("dist", _damerau("a", "b")).filter(F.col("dist") <= radius)
+    # a pair closer under damerau() has exchanges, which keep the letters: the sorted letters differ by the other edits
+    letters = lambda c: F.array_join(F.array_sort(F.split(c, "")), "")
+    exchanged = (F.levenshtein("a", "b", 2 * radius) >= 0) & (F.levenshtein(letters("a"), letters("b"), 2 * (radius - 1)) >= 0)
+    near = met.filter((F.levenshtein("a", "b", radius) >= 0) | exchanged).select("attr", "a", "b").distinct().withColumn("dist", _damerau("a", "b")).filter(F.col("dist") <= radius)
     same = values.select("attr", F.col("value").alias("a"), F.col("value").alias("b"), F.lit(0).alias("dist"))
     return same.unionByName(near)
 
