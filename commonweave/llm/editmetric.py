@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 #: Letters without a decomposition, fixed values.
 _PLAIN = str.maketrans({"ß": "ss", "ø": "o", "Ø": "O", "ł": "l", "Ł": "L", "æ": "ae", "Æ": "Ae", "œ": "oe", "Œ": "Oe", "đ": "d", "Đ": "D", "ð": "d", "þ": "th", "ı": "i", "ħ": "h", "ŋ": "n"})
@@ -101,40 +101,86 @@ def within(a: str, b: str, radius: int) -> bool:
 
 
 class BkTree:
-    """Entries in a tree by their edit distances; every entry within a threshold
-    of a query is found.
+    """Entries in trees by their edit distances, one tree for each length; every
+    entry within a threshold of a query is found.
 
-    The answer is under damerau(), whose exchanges count once. The tree is built
+    The answer is under damerau(), whose exchanges count once. The trees are built
     and pruned under levenshtein(), which is quicker and at most twice as large:
     an entry at damerau distance r lies within levenshtein distance 2r, and where
     a node lies at distance d from the query, the triangle inequality leaves only
-    children at distances d - 2r to d + 2r.
+    children at distances d - 2r to d + 2r. A tree of strings more than r longer or
+    shorter than the query holds no answer, and neither does a leaf with more than
+    r letters that the query lacks, or without r + 1 letters of it.
     """
 
     def __init__(self, entries: Iterable[str]) -> None:
         self.nodes: list[str] = []
         self.children: list[dict[int, int]] = []
+        self.letters: list[int] = []
+        self.roots: dict[int, int] = {}
         for entry in sorted(set(entries)):
             self._add(entry)
 
     def _add(self, entry: str) -> None:
         self.nodes.append(entry)
         self.children.append({})
-        new, at = len(self.nodes) - 1, 0
-        while new:
+        self.letters.append(_letters(entry))
+        new = len(self.nodes) - 1
+        at = self.roots.setdefault(len(entry), new)
+        while at != new:
             d = levenshtein(entry, self.nodes[at])
-            if d not in self.children[at]:
-                self.children[at][d] = new
-                return
-            at = self.children[at][d]
+            at = self.children[at].setdefault(d, new)
 
     def within(self, query: str, radius: int) -> list[tuple[int, str]]:
         """(distance, entry) of every entry within radius, nearest first."""
-        found, stack, reach = [], [0] if self.nodes else [], 2 * radius
+        found, reach, own = [], 2 * radius, _letters(query)
+        stack = [root for n, root in self.roots.items() if abs(n - len(query)) <= radius]
+        distance = _distance_from(query)
         while stack:
             at = stack.pop()
-            d = levenshtein(query, self.nodes[at])
-            if d <= reach and (own := damerau(query, self.nodes[at])) <= radius:
-                found.append((own, self.nodes[at]))
-            stack += [c for k, c in self.children[at].items() if d - reach <= k <= d + reach]
+            below, letters = self.children[at], self.letters[at]
+            far = (letters & ~own).bit_count() > radius or (own & ~letters).bit_count() > radius
+            if far and not below:
+                continue
+            d = distance(self.nodes[at])
+            if not far and d <= reach and (exact := damerau(query, self.nodes[at])) <= radius:
+                found.append((exact, self.nodes[at]))
+            if below:
+                stack += [c for k, c in below.items() if d - reach <= k <= d + reach]
         return sorted(found)
+
+
+def _letters(text: str) -> int:
+    """The set of letters as bits; different letters may share a bit, so that the set is at most smaller."""
+    out = 0
+    for c in text:
+        out |= 1 << (ord(c) & 127)
+    return out
+
+
+def _distance_from(a: str) -> Callable[[str], int]:
+    """levenshtein(a, .) with the part that depends on `a` alone done once."""
+    masks: dict[str, int] = {}
+    for i, c in enumerate(a):
+        masks[c] = masks.get(c, 0) | 1 << i
+    size, full, last = len(a), (1 << len(a)) - 1, 1 << (len(a) - 1) if a else 0
+
+    def distance(b: str) -> int:
+        if not size:
+            return len(b)
+        plus, minus, score = full, 0, size
+        for c in b:
+            x = masks.get(c, 0) | minus
+            d = (((x & plus) + plus) ^ plus) | x
+            up = minus | (full & ~(d | plus))
+            down = plus & d
+            if up & last:
+                score += 1
+            elif down & last:
+                score -= 1
+            up = (up << 1) | 1
+            plus = ((down << 1) | (full & ~(d | up))) & full
+            minus = up & d & full
+        return score
+
+    return distance

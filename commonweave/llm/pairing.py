@@ -20,7 +20,7 @@ from .editmetric import fold, skeleton
 from .merge_queries import STAND_INS
 from .people import _BIO, ROLES, Lexicon, core_key, given_fit, handle_base, handle_of, parse_name, squash
 from .pii_queries import learned_given_names
-from .place_queries import place_values
+from .place_queries import COUNTRY_NAMES, place_entries, place_hints, place_values
 from .places import map_places
 from .radius import radius_join
 
@@ -100,10 +100,10 @@ def build_records(spark: SparkSession, folder: str) -> tuple[DataFrame, list[str
     given = learned_given_names(spark, folder)
     alias = learn_aliases(spark, folder, given)
     companies = _companies(spark, folder)
-    entries = table(spark, folder, "city_coordinates").select(F.col("city_id").cast("long").alias("entry_id"), F.col("city").alias("name"), "country", F.col("local_name").alias("other"))
+    entries = place_entries(spark, folder)
     typed = place_values(spark, folder).filter("source_table <> 'community_event'")
     lands = entries.select("entry_id", F.lower("country").alias("entry_land")).distinct()
-    mapped = map_places(typed, entries).join(lands, "entry_id", "left")
+    mapped = map_places(typed, entries, place_hints()).join(lands, "entry_id", "left")
     places = mapped.select(F.concat(F.when(F.col("source_table") == "person", "person:").otherwise("github:"), "record_id").alias("key"), "entry_id", "entry_land")
     person = latest_rows(
         table(spark, folder, "person").filter("id is not null").select("id", "canonical_name", "names_seen", "emails_seen", "primary_email", "location_country", "employer_company_id", "last_observed_at"),
@@ -212,8 +212,6 @@ def build_records(spark: SparkSession, folder: str) -> tuple[DataFrame, list[str
 
 
 def _land(country: str | None, entry_land: str | None) -> str | None:
-    from .places import COUNTRY_NAMES
-
     if isinstance(entry_land, str) and entry_land:
         return entry_land
     if not isinstance(country, str):
