@@ -83,6 +83,7 @@ PLACEHOLDER = re.compile(
 )
 _CODE = re.compile(r"```.*?(?:```|\Z)|~~~.*?(?:~~~|\Z)|<(pre|code)>.*?</\1>|`[^`\n]*`|^(?: {4}|\t).*$", re.S | re.M)
 _QUOTE = re.compile(r"\"[^\"\n]{1,200}\"|“[^”\n]{1,200}”|„[^“”\n]{1,200}[“”]|«\s?[^»\n]*\s[^»\n]*»|「[^」\n]{1,200}」|『[^』\n]{1,200}』")
+_QUOTED = re.compile("[\"“„«「『]")
 _SENTENCE = re.compile(r"\n+|(?<=[.!?…])\s+(?=\S)|(?<=[。！？])|\s{2,}(?=[A-ZÀ-Þ])|(?<=\S)\s+(?=(?:menu  ?search|home \| threads|help · status|back to start|© community))", re.I)
 _HEADED = re.compile(r"\s*#+\s*\Z")
 _WORD = re.compile(r"[^\W\d_]+")
@@ -99,27 +100,46 @@ COMMON = frozenset(
 class Phrases:
     """The automaton over all phrases, by class."""
 
-    def __init__(self) -> None:
+    def __init__(self, left_out: frozenset[str] = frozenset()) -> None:
+        """left_out: phrases not to be used, for measuring how much depends on single ones."""
         self.automaton = ahocorasick.Automaton()
         for kind, block in (("frame", FRAMES), ("filler", FILLERS), ("script", SCRIPTS), ("error", ERRORS)):
             for phrase in block.replace("\n", "|").split("|"):
-                if (p := _mask(phrase.strip())) and len(p) > 1:
+                if (p := _mask(phrase.strip())) and len(p) > 1 and phrase.strip() not in left_out:
                     self.automaton.add_word(p, (len(p), kind))
         for phrase in ("home | threads | log in", "*|"):
             self.automaton.add_word(phrase, (len(phrase), "frame"))
+        # a second automaton without the frames, with what opens a placeholder, tells what a text can hold at all
+        self.first = ahocorasick.Automaton()
+        for phrase in self.automaton:
+            kind = self.automaton.get(phrase)[1]
+            if kind != "frame":
+                self.first.add_word(phrase, kind)
+        for opener in OPENERS:
+            self.first.add_word(opener, "placeholder")
         self.automaton.make_automaton()
+        self.first.make_automaton()
+
+    def signs(self, text: str) -> set[str]:
+        """Which classes the text may hold: one pass over the whole of it."""
+        return {kind for _, kind in self.first.iter(_mask(text))}
 
     def cover(self, sentence: str) -> tuple[float, set[str]]:
         """The matched share of the letters and digits, and the classes of evidence."""
         text = _mask(sentence)
-        covered, kinds = bytearray(len(text)), set()
+        spans, kinds = [], set()
         for end, (n, kind) in self.automaton.iter(text):
             start = end - n + 1
             if text[start].isalnum() and start and text[start - 1].isalnum() and text[start].isascii() or text[end].isalnum() and text[end].isascii() and end + 1 < len(text) and text[end + 1].isalnum() and text[end + 1].isascii():
                 continue
-            covered[start : end + 1] = b"\x01" * n
+            spans.append((start, end + 1))
             if kind != "frame":
                 kinds.add(kind)
+        if not kinds:
+            return 0.0, kinds
+        covered = bytearray(len(text))
+        for start, end in spans:
+            covered[start:end] = b"\x01" * (end - start)
         total = matched = 0
         for c, m in zip(text, covered):
             if c.isalnum() or c == "#" or c == "@":
@@ -128,14 +148,17 @@ class Phrases:
         return (matched / total if total else 0.0), kinds
 
 
+#: How the shapes of PLACEHOLDER begin or, those in brackets of words, end, in lower case.
+OPENERS = ("{", "[[", "<", "*|", "@@", "«", "__", "xx_", "%", "$", "[your", "[insert", "[enter", "[add", "[put", " here)")
 _HEX = re.compile(r"(?<![\w])(?=[a-f]*\d)[0-9a-f]{6,}(?![\w])")
 _DIGITS = re.compile(r"\d+(?:[.:,]\d+)*")
+_DIGIT = re.compile(r"\d")
 _BLANKS = re.compile(r"\s+")
 
 
 def _mask(text: str) -> str:
     text = _BLANKS.sub(" ", unicodedata.normalize("NFC", text.lower()).replace("’", "'"))
-    text = text if text.isascii() and not any(c.isdigit() for c in text) else _DIGITS.sub("#", _HEX.sub("@", text))
+    text = text if not _DIGIT.search(text) else _DIGITS.sub("#", _HEX.sub("@", text))
     return text.strip(" ")
 
 
@@ -158,6 +181,8 @@ def _strange_runs(block: str) -> Iterator[tuple[bool, list[str]]]:
         return
     led, run, plain = False, [], True
     opens = block.lstrip().lower().startswith("lorem ipsum")
+    if not opens and block.count(" ") < 7 and len(_WORD.findall(block)) < 8:
+        return  # too short for a run
     for sentence in [*re.split(r"(?<=[.!?])\s+", block), "the of and to"]:
         words = _WORD.findall(sentence.lower())
         common = sum(w in COMMON for w in words)
@@ -181,15 +206,18 @@ def judge(text: str | None, phrases: Phrases) -> tuple[float, str]:
     """(covered share, classes found) of a text; (0, '') for one without residue."""
     if not text or not text.strip():
         return 0.0, ""
-    bare = _CODE.sub(lambda m: "\n" if "\n" in m.group() else " ` ", text)
+    coded = "`" in text or "<" in text or "    " in text or "\t" in text or "~~~" in text
+    bare = _CODE.sub(lambda m: "\n" if "\n" in m.group() else " ` ", text) if coded else text
     kinds: set[str] = set()
-    size = len(_SIGNIFICANT.findall(text)) or 1
     residue = 0
-    unquoted = _QUOTE.sub(' " ', bare)
-    for sentence in _SENTENCE.split(unquoted):
+    unquoted = _QUOTE.sub(' " ', bare) if _QUOTED.search(bare) else bare
+    signs = phrases.signs(unquoted)
+    if "placeholder" in signs and not PLACEHOLDER.search(unquoted):
+        signs.remove("placeholder")
+    for sentence in _SENTENCE.split(unquoted) if signs else ():
         if not sentence or not sentence.strip():
             continue
-        found = PLACEHOLDER.search(sentence)
+        found = PLACEHOLDER.search(sentence) if "placeholder" in signs else None
         if found and (_HEADED.match(sentence, 0, found.start()) or ("`" not in sentence and not ABOUT.search(PLACEHOLDER.sub(" ", sentence).lower()))):
             kinds.add("placeholder")
             residue += len(_SIGNIFICANT.findall(sentence))
@@ -205,7 +233,9 @@ def judge(text: str | None, phrases: Phrases) -> tuple[float, str]:
             if led or babble(words):
                 kinds.add("filler")
                 residue += sum(map(len, words))
-    return min(1.0, residue / size), "+".join(sorted(kinds))
+    if not kinds:
+        return 0.0, ""
+    return min(1.0, residue / (len(_SIGNIFICANT.findall(text)) or 1)), "+".join(sorted(kinds))
 
 
 def find_residue(df: DataFrame, id_col: str, text_col: str, coverage: float = DOCUMENT_COVERAGE) -> DataFrame:

@@ -41,3 +41,18 @@ def test_rows(spark):
     got = find_residue(df, "doc_id", "text").collect()
     assert len(got) == 6 and sorted((str(r["doc_id"]), r["excluded"]) for r in got) == sorted([("1", True), ("1", True), ("2", False), ("3", False), ("4", False), ("None", True)])
     assert find_residue(df.limit(0), "doc_id", "text").count() == 0
+
+
+def test_first_pass_loses_nothing():
+    """The pass over the whole text names every class that a sentence of it may hold."""
+    phrases = Phrases()
+    for text in ("Intro.\n\nHello {{ user_name }}, welcome!", "It works.\n\n404 Page not found", "Read on.\n(more text goes HERE)", "Dear [Your Name],", "Please enable JavaScript to continue."):
+        assert phrases.signs(text), text
+        assert judge(text, phrases)[1]
+    assert not phrases.signs("We met in the hall and talked about the plan for 2024.")
+
+
+def test_phrases_left_out():
+    """A page is still known by its other phrases."""
+    page = "Page not found. This page does not exist any more. Return to the home page."
+    assert judge(page, Phrases(frozenset({"page not found"})))[1] == "error"
