@@ -22,8 +22,8 @@ from pyspark.sql.window import Window
 
 from ..session import cut
 
-#: Hash groups into which the items of one length are split for ranking.
-RANK_GROUPS = 64
+#: Items of one length that one task ranks, on average: they are split into hash groups by their number.
+RANK_ITEMS = 100_000
 _SHIFT = 40
 
 
@@ -73,13 +73,15 @@ def plan_fillings(histogram: dict[int, int], capacity: int) -> list[tuple[int, d
     return out
 
 
-def pack(items: DataFrame, id_col: str, size_col: str, capacity: int = 2048, groups: int = RANK_GROUPS) -> DataFrame:
+def pack(items: DataFrame, id_col: str, size_col: str, capacity: int = 2048, rank_items: int = RANK_ITEMS) -> DataFrame:
     """(id_col, part, start, size, container_id): a place for each item.
 
     An item above the capacity is split into parts of the capacity and a rest,
     no other item is; part counts from 0 and start is the offset within the
     item. Items of null, zero or negative size need no place and give no row.
     Repeated rows are items of their own. Containers are numbered from 0.
+    However many items have one length, each of their hash groups holds about
+    rank_items at most, of which one task finds the ranks.
     """
     cols = items.select(F.col(id_col).alias("_id"), F.col(size_col).cast("long").alias("_n")).filter("_n > 0")
     parts = cols.select(
@@ -87,9 +89,10 @@ def pack(items: DataFrame, id_col: str, size_col: str, capacity: int = 2048, gro
     ).select(
         "_id", F.col("part").cast("int").alias("part"), (F.col("part") * capacity).alias("start"),
         F.least(F.lit(capacity).cast("long"), F.col("_n") - F.col("part") * capacity).alias("size"),
-        F.pmod(F.xxhash64("_id", "part"), F.lit(groups)).cast("int").alias("_g"),
     )
     parts = cut(parts)
+    groups = 1 + parts.count() // rank_items
+    parts = parts.withColumn("_g", F.pmod(F.xxhash64("_id", "part"), F.lit(groups)).cast("int"))
     by_group = parts.groupBy("size", "_g").agg(F.count("*").alias("_c"))
     offset = Window.partitionBy("size").orderBy("_g").rowsBetween(Window.unboundedPreceding, -1)
     offsets = by_group.select("size", "_g", F.coalesce(F.sum("_c").over(offset), F.lit(0)).alias("_from"))
