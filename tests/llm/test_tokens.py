@@ -77,7 +77,7 @@ def test_pack(spark):
     random.seed(8)
     rows = [(i, random.choice([5, 5, 5, 17, 30, 64, 65, 200, 0]), "c") for i in range(400)] + [(7, 5, "c"), (None, 3, "c"), (900, None, "c"), (901, -1, "c")]
     df = spark.createDataFrame(rows, "doc_id long, n long, container_id string")
-    got = pack(df, "doc_id", "n", 64, groups=4).collect()
+    got = pack(df, "doc_id", "n", 64, rank_items=50).collect()
     fills: dict[int, int] = {}
     for r in got:
         fills[r["container_id"]] = fills.get(r["container_id"], 0) + r["size"]
