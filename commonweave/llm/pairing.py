@@ -10,7 +10,7 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,12 +33,18 @@ LINKED = 0.5
 
 RECORD = (
     "key string, kind string, name string, is_org boolean, org_kind string, givens array<string>, cores array<string>, emails array<string>, accounts array<string>, "
-    "bases array<string>, city long, land string, heads array<string>"
+    "bases array<string>, city long, land string, heads array<string>, site string"
 )
+#: Features of two persons, and of two organisations.
 FEATURES = (
     "one", "account", "base_own", "base_name", "city_same", "city_other", "land_other", "head_same", "head_other", "given_same", "given_alias", "given_initial", "given_none",
     "slip", "no_name", "common", "nothing", "land_same",
 )
+ORG_FEATURES = ("one", "core_same", "core_near", "kind_same", "kind_other", "city_same", "city_other", "land_other", "handle_same")
+#: Log odds that a shared personal e-mail address adds to those of the classifier, whose weak labels it gives.
+MAIL_ODDS = 6.0
+#: `fit` of two organisations.
+ORGS = 9
 
 
 def learn_aliases(spark: SparkSession, folder: str, given: list[str]) -> list[tuple[str, str]]:
@@ -205,12 +211,18 @@ def build_records(spark: SparkSession, folder: str) -> tuple[DataFrame, list[str
                 bases = {handle_base(b) for b in bases} | bases
                 land = _land(r.country, r.entry_land)
                 city = int(r.entry_id) if r.entry_id == r.entry_id and r.entry_id is not None else -1
-                rows.append((r.key, r.kind, r.name, org, org_kind, sorted(givens), sorted(cores), sorted(emails), sorted(accounts), sorted(b for b in bases if len(b) >= 4), city, land, sorted(heads_own)))
+                rows.append((r.key, r.kind, r.name, org, org_kind, sorted(givens), sorted(cores), sorted(emails), sorted(accounts), sorted(b for b in bases if len(b) >= 4), city, land, sorted(heads_own), _site(r.blog)))
             yield pd.DataFrame(rows, columns=[c.split(" ")[0] for c in RECORD.split(", ")])
 
     return cut(raw.mapInPandas(shape, RECORD)), given, alias
 
 
+def _site(blog: str | None) -> str | None:
+    """The host that an address names."""
+    found = re.match(r"(?:https?://)?(?:www\.)?([a-z0-9-]+(?:\.[a-z0-9-]+)+)", fold((blog or "").strip()))
+    return found.group(1) if found else None
+
+
 def _land(country: str | None, entry_land: str | None) -> str | None:
     if isinstance(entry_land, str) and entry_land:
         return entry_land
@@ -293,8 +305,8 @@ def family_links(records: DataFrame) -> DataFrame:
 
 
 def pair_features(pairs: DataFrame, records: DataFrame, given: list[str], alias: list[tuple[str, str]]) -> DataFrame:
-    """(a, b, mail, fit, x): shared personal e-mail, how the given names fit, and the
-    features in the order of FEATURES; pairs whose names exclude each other have fit -1."""
+    """(a, b, mail, fit, x): the label, how the given names fit (ORGS for organisations), and the
+    features in the order of FEATURES or ORG_FEATURES; pairs whose names exclude each other have fit -1."""
     names = records.select(F.explode("cores").alias("core"), "key").groupBy("core").agg(F.count("*").alias("n"))
     weights = records.select("key", F.explode("cores").alias("core")).join(names, "core").groupBy("key").agg(F.min("n").alias("common"))
     full = records.join(weights, "key", "left")
@@ -315,17 +327,25 @@ def pair_features(pairs: DataFrame, records: DataFrame, given: list[str], alias:
 
 
 def compare_records(r, lexicon: Lexicon) -> tuple[int, int, list[float]]:
-    """(fit, shared e-mail, features) of two records side by side."""
+    """(fit, label, features) of two records side by side. The label is 1 for persons with a
+    shared e-mail address; for organisations it tells whether their sites are one, -1 if either has none."""
     from .editmetric import levenshtein, within
 
     mail = int(bool(set(r.a_emails) & set(r.b_emails)))
     ca, cb = set(r.a_cores), set(r.b_cores)
     if r.a_is_org or r.b_is_org:
-        near = bool(ca & cb) or any(max(len(p), len(q)) >= 5 and within(p, q, 2 if min(len(p), len(q)) >= 5 else 1) for p in ca for q in cb)
-        kinds = set(r.a_org_kind.split()) ^ set(r.b_org_kind.split()) if r.a_org_kind and r.b_org_kind else set()
-        apart = r.a_city >= 0 and r.b_city >= 0 and r.a_city != r.b_city
-        fit = 9 if r.a_is_org and r.b_is_org and near and not kinds and not apart else -1
-        return fit, 0, [0.0] * len(FEATURES)
+        near = any(max(len(p), len(q)) >= 5 and within(p, q, 2 if min(len(p), len(q)) >= 5 else 1) for p in ca for q in cb)
+        if not (r.a_is_org and r.b_is_org and (near or ca & cb)):
+            return -1, 0, [0.0] * len(ORG_FEATURES)
+        kinds = bool(r.a_org_kind and r.b_org_kind)
+        city = r.a_city >= 0 and r.b_city >= 0
+        land = isinstance(r.a_land, str) and isinstance(r.b_land, str) and r.a_land != r.b_land
+        sites = isinstance(r.a_site, str) and isinstance(r.b_site, str)
+        x = (
+            1, bool(ca & cb), near and not ca & cb, kinds and r.a_org_kind == r.b_org_kind, kinds and bool(set(r.a_org_kind.split()) ^ set(r.b_org_kind.split())),
+            city and r.a_city == r.b_city, city and r.a_city != r.b_city, land, bool(set(r.a_bases) & set(r.b_bases)),
+        )
+        return ORGS, int(r.a_site == r.b_site) if sites else -1, [float(v) for v in x]
     same = bool(ca & cb)
     slip = not same and any(min(len(p), len(q)) >= 5 and within(p, q, 2 if min(len(p), len(q)) >= 7 else 1) for p in ca for q in cb)
     fit = given_fit(list(r.a_givens), list(r.b_givens), lexicon)
@@ -363,59 +383,75 @@ def _alike(handle: str) -> str:
     return skeleton(handle)
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 30) -> np.ndarray:
-    """Weights of a logistic regression by Newton's method with a ridge."""
-    w = np.zeros(x.shape[1])
-    for _ in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        s = np.maximum(p * (1 - p), 1e-6)
-        step = np.linalg.solve((x * s[:, None]).T @ x + ridge * np.eye(x.shape[1]), x.T @ (y - p) - ridge * w)
-        w += step
-        if np.abs(step).max() < 1e-6:
-            break
-    return w
-
-
-#: Weights held to where there are too few labelled pairs, in the order of FEATURES.
+#: Weights to which the ridge holds where labels tell little, in the order of FEATURES and of ORG_FEATURES.
 PRIOR = (-1.0, 5.0, 5.0, 2.0, 3.0, -4.0, -2.5, 2.5, -2.0, 1.0, 0.5, 0.0, 0.0, -0.5, -1.0, -1.0, -0.5, 1.0)
+ORG_PRIOR = (-2.0, 5.0, 4.5, 1.0, -7.0, 2.0, -7.0, -2.0, 2.0)
+#: Strength of the ridge.
+RIDGE = 3.0
+
+#: Weights, slope and shift of the calibration.
+Model = tuple[np.ndarray, float, float]
+
+
+def fit_model(x: np.ndarray, y: np.ndarray, part: np.ndarray, prior: tuple[float, ...]) -> Model:
+    """A logistic classifier and its calibration, the same way for any number of labels:
+    a ridge draws the weights to the prior ones and the calibration to none, so that few
+    labels move them little and none leave them. Labels of part 0 calibrate, those of
+    part 1 are held out altogether, the others give the weights."""
+    base = np.array(prior)
+    if not len(y):
+        return base, 1.0, 0.0
+    learn, hold = part >= 2, part == 0
+    w = base + _fit_from(x[learn], y[learn], x[learn] @ base, RIDGE)
+    score = x[hold] @ w
+    slope, shift = np.array([1.0, 0.0]) + _fit_from(np.stack([score, np.ones(len(score))], axis=1), y[hold], score, RIDGE)
+    return w, float(max(slope, 0.1)), float(shift)
 
 
-def fit_on_weak_labels(features: DataFrame, known: DataFrame) -> tuple[np.ndarray, float, float]:
-    """(weights, slope, shift): a classifier on weak labels, and its calibration.
+def weak_labels(features: DataFrame, known: DataFrame) -> tuple[tuple[np.ndarray, np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(features, labels, parts) of pairs of persons and of pairs of organisations.
 
     A profile whose personal e-mail address is a person's labels its pairs: that
     person is right, other persons of fitting names are wrong unless known(a, b)
-    ties them to the right one. The address itself is no feature. Fitted on at
-    most LABELLED pairs by hash, four fifths for the weights, the rest for a
-    logistic calibration of the score.
+    ties them to the right one. Two organisations are labelled by their sites.
+    Neither the address nor the site is a feature. At most LABELLED pairs of
+    each kind are used, chosen by hash; so is the part of a label, 0 to 4, by
+    the profile, so that no profile is in two parts.
     """
-    usable = features.filter("fit between 0 and 3")
+    usable = features.filter("fit between 0 and 3 and a like 'github:%' and b like 'person:%'")
     right = usable.filter("mail = 1").select("a", F.col("b").alias("right")).distinct()
     labelled = usable.join(right.select("a").distinct(), "a")
     excused = right.join(known, F.col("right") == F.col("k_a")).select("a", F.col("k_b").alias("b")).distinct().withColumn("excused", F.lit(1))
     labelled = labelled.join(excused, ["a", "b"], "left").filter("mail = 1 or excused is null")
-    rows = labelled.select("a", "mail", "x").orderBy(F.xxhash64("a", "b"), "a", "b").limit(LABELLED).collect()
-    prior = np.array(PRIOR)
-    if len(rows) < 200 or len({r["mail"] for r in rows}) < 2:
-        return prior, 1.0, 0.0
-    x, y = np.array([r["x"] for r in rows]), np.array([float(r["mail"]) for r in rows])
-    held = np.array([hash_of(r["a"]) % 5 == 0 for r in rows])
-    # the ridge pulls towards the prior weights, which matter where a feature is rare
-    base = x @ prior
-    w = prior + _fit_from(x[~held], y[~held], base[~held])
-    score = x[held] @ w
-    if held.sum() < 50 or len(set(y[held])) < 2:
-        return w, 1.0, 0.0
-    slope, shift = fit_logistic(np.stack([score, np.ones(held.sum())], axis=1), y[held], ridge=0.1)
-    return w, float(max(slope, 0.1)), float(shift)
+    out = []
+    for rows, width in ((labelled, len(FEATURES)), (features.filter(f"fit = {ORGS} and mail >= 0"), len(ORG_FEATURES))):
+        found = rows.select("a", "mail", "x").orderBy(F.xxhash64("a", "b"), "a", "b").limit(LABELLED).collect()
+        out.append((np.array([r["x"] for r in found]).reshape(-1, width), np.array([float(r["mail"]) for r in found]), np.array([hash_of(r["a"]) % 5 for r in found], dtype=int)))
+    return out[0], out[1]
+
+
+def fit_on_weak_labels(features: DataFrame, known: DataFrame) -> tuple[Model, Model]:
+    """The classifiers of two persons and of two organisations."""
+    persons, orgs = weak_labels(features, known)
+    return fit_model(*persons, PRIOR), fit_model(*orgs, ORG_PRIOR)
 
 
-def _fit_from(x: np.ndarray, y: np.ndarray, base: np.ndarray) -> np.ndarray:
+def reliability(x: np.ndarray, y: np.ndarray, part: np.ndarray, prior: tuple[float, ...], bins: int = 5) -> list[tuple[float, int, float, float, float]]:
+    """(from, n, mean probability, share right, mean squared error) of the labels held out, by probability."""
+    w, slope, shift = fit_model(x, y, part, prior)
+    held = part == 1
+    p = 1 / (1 + np.exp(-np.clip(slope * (x[held] @ w) + shift, -30, 30)))
+    at = np.minimum((p * bins).astype(int), bins - 1)
+    return [(k / bins, int((at == k).sum()), float(p[at == k].mean()), float(y[held][at == k].mean()), float(((p - y[held])[at == k] ** 2).mean())) for k in range(bins) if (at == k).any()]
+
+
+def _fit_from(x: np.ndarray, y: np.ndarray, base: np.ndarray, ridge: float) -> np.ndarray:
+    """What to add to the weights that gave the scores `base`, by Newton's method with a ridge."""
     w = np.zeros(x.shape[1])
     for _ in range(30):
         p = 1 / (1 + np.exp(-np.clip(base + x @ w, -30, 30)))
         s = np.maximum(p * (1 - p), 1e-6)
-        step = np.linalg.solve((x * s[:, None]).T @ x + 3.0 * np.eye(x.shape[1]), x.T @ (y - p) - 3.0 * w)
+        step = np.linalg.solve((x * s[:, None]).T @ x + ridge * np.eye(x.shape[1]), x.T @ (y - p) - ridge * w)
         w += step
         if np.abs(step).max() < 1e-6:
             break
@@ -429,15 +465,18 @@ def hash_of(text: str) -> int:
     return zlib.crc32(text.encode())
 
 
-def score_pairs(features: DataFrame, model: tuple[np.ndarray, float, float]) -> DataFrame:
-    """(a, b, probability) of each pair that names do not exclude. A shared
-    personal e-mail address counts beside the classifier, not within it."""
-    w, slope, shift = model
-    score = reduce(lambda s, i: s + F.col("x")[i] * F.lit(float(w[i])), range(len(FEATURES)), F.lit(0.0))
-    p = 1 / (1 + F.exp(-(score * F.lit(slope) + F.lit(shift))))
-    p = F.when(F.col("fit") == 9, 0.99).when(F.col("mail") == 1, F.greatest(p, F.lit(0.98))).otherwise(p)
-    alike = (F.col("fit") >= 0) | ((F.col("mail") == 1) & (F.col("fit") > -2) & (F.col("x")[FEATURES.index("no_name")] == 1))
-    return features.filter(alike).select("a", "b", p.alias("probability"))
+def score_pairs(features: DataFrame, models: tuple[Model, Model]) -> DataFrame:
+    """(a, b, probability) of each pair that names do not exclude; a shared personal
+    e-mail address adds MAIL_ODDS to the calibrated log odds."""
+
+    def odds(model: Model) -> Column:
+        w, slope, shift = model
+        return reduce(lambda s, i: s + F.get("x", F.lit(i)) * F.lit(float(w[i])), range(len(w)), F.lit(0.0)) * F.lit(slope) + F.lit(shift)
+
+    mailed = F.when(F.col("mail") == 1, F.lit(MAIL_ODDS)).otherwise(0.0)
+    score = F.when(F.col("fit") == ORGS, odds(models[1])).otherwise(odds(models[0]) + mailed)
+    alike = (F.col("fit") >= 0) | ((F.col("mail") == 1) & (F.col("fit") > -2) & (F.get("x", F.lit(FEATURES.index("no_name"))) == 1))
+    return features.filter(alike).select("a", "b", (1 / (1 + F.exp(-score))).alias("probability"))
 
 
 def entities(links: DataFrame) -> DataFrame:

@@ -15,10 +15,11 @@ from pyspark.sql import types as T
 from ..session import shuffle_partitions
 from .editmetric import damerau, levenshtein, within
 
-#: Bands of MinHash rows: two strings of Jaccard similarity 0.35 in letter pairs meet with probability 0.97.
-BANDS, ROWS = 80, 3
-#: Bands for one edit, which leaves a similarity of 0.5: met with probability 0.96.
-FEW_BANDS = 24
+#: MinHash rows of a band, over the pairs of letters at most WINDOW apart: on names such pairs keep two
+#: strings two edits apart at a similarity of 0.5 and more, and strangers below 0.1.
+ROWS, WINDOW = 5, 2
+#: Bands: a similarity of 0.52 is met with probability 0.92; and for one edit, which leaves 0.7, with 0.94.
+BANDS, FEW_BANDS = 65, 15
 #: Least length of strings that may differ, and the length up to which letters are left out in place of
 #: bands: two edits change too many of a short string's letter pairs for MinHash to find it.
 LEAST, SHORT = 5, 8
@@ -35,11 +36,20 @@ def _hashes() -> tuple[np.ndarray, np.ndarray]:
 
 
 def bands(value: str, a: np.ndarray, b: np.ndarray) -> list[int]:
-    """One number for each band of the MinHash signature of the letter pairs."""
+    """One number for each band of the MinHash signature of the pairs of near letters; it holds the band too."""
     padded = f"^{value}$"
-    grams = np.array([zlib.crc32(padded[i : i + 2].encode()) for i in range(len(padded) - 1)], dtype=np.uint64)
+    pairs = {x + y for k in range(1, WINDOW + 1) for x, y in zip(padded, padded[k:])}
+    grams = np.array([zlib.crc32(p.encode()) for p in pairs], dtype=np.uint64)
     signature = ((grams[:, None] * a[None, :] + b[None, :]) % np.uint64(4294967291)).min(axis=0)
-    return [zlib.crc32(signature[k * ROWS : (k + 1) * ROWS].tobytes()) for k in range(len(a) // ROWS)]
+    return [k << 32 | zlib.crc32(signature[k * ROWS : (k + 1) * ROWS].tobytes()) for k in range(len(a) // ROWS)]
+
+
+def letter_set(text: str) -> int:
+    """The letters as bits of a long; different letters may share one, so that it tells at most less."""
+    out = 0
+    for c in text:
+        out |= 1 << ord(c) % 63
+    return out
 
 
 @F.pandas_udf(T.IntegerType())
@@ -47,13 +57,18 @@ def _damerau(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([damerau(x, y) for x, y in zip(a, b)], dtype="int32")
 
 
+#: So marked, it is not moved before the choice of distinct pairs, where it would run on each meeting.
+_damerau = _damerau.asNondeterministic()
+
+
 def minhash_links(values: DataFrame, radius: int = 2) -> DataFrame:
     """(attr, a, b, dist) for values(attr, value), distinct: pairs a < b of at least
     LEAST letters that meet in a MinHash band of one attribute and lie within
     `radius` under damerau(), and every (a, a) with dist 0. A pair whose shorter
     string has up to SHORT letters meets in what is left of both without up to
     `radius` letters, and none is lost. Only distinct values are blocked, so a
-    value that many records share is one row here; null and empty values are left out."""
+    value that many records share is one row here; null and empty values are left out.
+    Those that meet are sifted in the JVM, by lengths and letter sets first."""
     values = values.filter("value is not null and value <> ''").distinct()
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -62,23 +77,26 @@ def minhash_links(values: DataFrame, radius: int = 2) -> DataFrame:
         a, b = a[: n * ROWS], b[: n * ROWS]
         for pdf in batches:
             found = [
-                ([(-1, zlib.crc32(s.encode())) for s in _shorter(v, radius)] if LEAST <= len(v) <= SHORT + radius else []) + (list(enumerate(bands(v, a, b))) if len(v) > SHORT else [])
+                ([-1 - zlib.crc32(s.encode()) for s in _shorter(v, radius)] if LEAST <= len(v) <= SHORT + radius else []) + (bands(v, a, b) if len(v) > SHORT else [])
                 for v in pdf["value"]
             ]
-            out = pdf.loc[pdf.index.repeat([len(f) for f in found])].reset_index(drop=True)
-            out["band"] = np.array([k for f in found for k, _ in f], dtype=np.int32)
-            out["bucket"] = np.array([x for f in found for _, x in f], dtype=np.int64)
+            times = [len(f) for f in found]
+            out = pdf.loc[pdf.index.repeat(times)].reset_index(drop=True)
+            out["bucket"] = np.array([x for f in found for x in f], dtype=np.int64)
+            out["letters"] = np.repeat(np.array([letter_set(v) for v in pdf["value"]], dtype=np.int64), times)
             yield out
 
-    signed = values.repartition(shuffle_partitions(values.sparkSession), "attr", "value").mapInPandas(sign, "attr string, value string, band int, bucket long")
-    left = signed.select("attr", "band", "bucket", F.col("value").alias("a"))
-    right = signed.select("attr", "band", "bucket", F.col("value").alias("b"))
-    # an exchange is one edit under damerau() and two under levenshtein()
-    met = left.join(right, ["attr", "band", "bucket"]).filter((F.col("a") < F.col("b")) & (F.abs(F.length("a") - F.length("b")) <= radius))
+    signed = values.repartition(shuffle_partitions(values.sparkSession), "attr", "value").mapInPandas(sign, "attr string, value string, bucket long, letters long")
+    left = signed.select("attr", "bucket", F.col("value").alias("a"), F.col("letters").alias("la"))
+    right = signed.select("attr", "bucket", F.col("value").alias("b"), F.col("letters").alias("lb"))
+    # an edit takes at most one letter away and brings one; an exchange is one edit under damerau() and two under levenshtein()
+    met = left.join(right, ["attr", "bucket"]).filter((F.col("a") < F.col("b")) & (F.abs(F.length("a") - F.length("b")) <= radius))
+    lacks = lambda x, y: F.bit_count(F.col(x).bitwiseAND(F.bitwise_not(F.col(y)))) <= radius
+    met = met.filter(lacks("la", "lb") & lacks("lb", "la")).filter(F.levenshtein("a", "b", 2 * radius) >= 0).select("attr", "a", "b").distinct()
     # a pair closer under damerau() has exchanges, which keep the letters: the sorted letters differ by the other edits
-    letters = lambda c: F.array_join(F.array_sort(F.split(c, "")), "")
-    exchanged = (F.levenshtein("a", "b", 2 * radius) >= 0) & (F.levenshtein(letters("a"), letters("b"), 2 * (radius - 1)) >= 0)
-    near = met.filter((F.levenshtein("a", "b", radius) >= 0) | exchanged).select("attr", "a", "b").distinct().withColumn("dist", _damerau("a", "b")).filter(F.col("dist") <= radius)
+    letters = lambda c: F.array_join(F.sort_array(F.split(c, "")), "")
+    near = met.filter((F.levenshtein("a", "b", radius) >= 0) | (F.levenshtein(letters("a"), letters("b"), 2 * (radius - 1)) >= 0))
+    near = near.withColumn("dist", _damerau("a", "b")).filter(F.col("dist") <= radius)
     same = values.select("attr", F.col("value").alias("a"), F.col("value").alias("b"), F.lit(0).alias("dist"))
     return same.unionByName(near)
 
@@ -112,9 +130,10 @@ def radius_join(values: DataFrame, radius: int = 1, pivots: int = PIVOTS) -> Dat
     """(a, b, dist) for values(value), distinct: every pair a < b within `radius`
     under damerau(), and every (a, a) with dist 0.
 
-    Each string belongs to the cell of its nearest pivot and is copied into every
-    other cell whose pivot is at most 2 * radius farther away; by the triangle
-    inequality a pair within the radius meets in the cells of both its strings.
+    Each string belongs to the cell of its nearest pivot; by the triangle inequality
+    the pivot of its partner's cell is at most twice the radius farther away. A pair
+    meets in the earlier of its two cells, so a string is copied only into earlier
+    cells within that reach.
     Within a cell only strings that agree after leaving out up to `radius`
     letters are compared, which loses no pair. A cell is split by the hash of what
     is left, into more parts the more strings there are, so that no task's part
@@ -136,7 +155,7 @@ def radius_join(values: DataFrame, radius: int = 1, pivots: int = PIVOTS) -> Dat
                 home = far.index(least)
                 # exchanges count one in damerau() and at most two in levenshtein()
                 split = sorted({zlib.crc32(s.encode()) % parts for s in _shorter(v, radius)})
-                rows += [(v, k, k == home, part) for k, d in enumerate(far) if d <= least + 4 * radius for part in split]
+                rows += [(v, k, k == home, part) for k, d in enumerate(far[: home + 1]) if d <= least + 4 * radius for part in split]
             yield pd.DataFrame(rows, columns=["value", "cell", "home", "part"])
 
     n = shuffle_partitions(values.sparkSession)

@@ -8,7 +8,7 @@ from types import SimpleNamespace
 import numpy as np
 
 from commonweave.llm.editmetric import damerau, within
-from commonweave.llm.pairing import FEATURES, candidate_pairs, compare_records, entities, family_links, fit_logistic
+from commonweave.llm.pairing import FEATURES, ORG_FEATURES, ORG_PRIOR, ORGS, PRIOR, candidate_pairs, compare_records, entities, family_links, fit_model, reliability, score_pairs
 from commonweave.llm.people import Lexicon, given_fit, handle_base, handle_of, parse_name
 from commonweave.llm.radius import minhash_links, radius_join
 
@@ -55,10 +55,33 @@ def test_names():
 
 def test_classifier_separates():
     rng = np.random.default_rng(1)
-    x = np.hstack([np.ones((400, 1)), rng.normal(size=(400, 2))])
-    y = (x[:, 1] - x[:, 2] > 0).astype(float)
-    w = fit_logistic(x, y)
-    assert ((x @ w > 0) == (y > 0)).mean() > 0.97 and len(FEATURES) == 18
+    x = np.hstack([np.ones((800, 1)), rng.normal(size=(800, 2))])
+    y = (x[:, 1] - x[:, 2] + 0.7 * rng.normal(size=800) > 0).astype(float)
+    part = np.arange(800) % 5
+    w, slope, shift = fit_model(x, y, part, (0.0, 0.0, 0.0))
+    assert ((x @ w > 0) == (y > 0)).mean() > 0.8 and len(FEATURES) == len(PRIOR) and len(ORG_FEATURES) == len(ORG_PRIOR)
+    table = reliability(x, y, part, (0.0, 0.0, 0.0))
+    assert sum(n for _, n, *_ in table) == (part == 1).sum()
+    assert sum(n * e for _, n, _, _, e in table) / 160 < 0.18 and all(abs(p - share) < 0.2 for _, n, p, share, _ in table if n >= 20)
+
+
+def test_classifier_is_one_way_for_any_number_of_labels():
+    """No label leaves the prior weights, few move them little, many decide."""
+    x, y = np.array([[1.0, 1.0], [1.0, 0.0]] * 500), np.array([0.0, 1.0] * 500)
+    part = np.arange(1000) // 2 % 5
+    prior = (0.0, 2.0)
+    at = [fit_model(x[:n], y[:n], part[:n], prior)[0][1] for n in (0, 4, 40, 1000)]
+    assert at[0] == 2.0 and at[0] >= at[1] > at[2] > at[3] and at[3] < -2
+
+
+def test_organisations_and_shared_addresses_pass_the_classifier(spark):
+    org = lambda **k: SimpleNamespace(**{f"{p}_{c}": v for p in "ab" for c, v in dict(is_org=True, org_kind="labs", cores=["zebitol"], bases=[], city=-1, land=None, site=None, emails=[]).items()} | k)
+    same, other = compare_records(org(), LEXICON), compare_records(org(b_org_kind="tech"), LEXICON)
+    assert same[0] == other[0] == ORGS and same[1] == -1 and compare_records(org(a_site="x.example", b_site="y.example"), LEXICON)[1] == 0
+    assert compare_records(org(b_is_org=False), LEXICON)[0] == -1
+    rows = [("a", "b", 0, *same[::2]), ("a", "c", 0, *other[::2])] + [(k, "p", m, 0, [1.0] + [0.0] * (len(FEATURES) - 1)) for k, m in (("m", 1), ("n", 0))]
+    got = {(r["a"], r["b"]): r["probability"] for r in score_pairs(spark.createDataFrame(rows, "a string, b string, mail int, fit int, x array<double>"), ((np.array(PRIOR), 1.0, 0.0), (np.array(ORG_PRIOR), 1.0, 0.0))).collect()}
+    assert got["a", "b"] > 0.95 and got["a", "c"] < 0.05 and got["m", "p"] > 0.95 > 0.5 > got["n", "p"]
 
 
 def test_entities(spark):
@@ -68,12 +91,12 @@ def test_entities(spark):
     assert entities(spark.createDataFrame([], "a string, b string")).count() == 0
 
 
-RECORDS = "key string, kind string, name string, is_org boolean, org_kind string, givens array<string>, cores array<string>, emails array<string>, accounts array<string>, bases array<string>, city long, land string, heads array<string>"
+RECORDS = "key string, kind string, name string, is_org boolean, org_kind string, givens array<string>, cores array<string>, emails array<string>, accounts array<string>, bases array<string>, city long, land string, heads array<string>, site string"
 
 
 def record(key, cores=(), givens=(), org=False, org_kind="", emails=(), bases=(), city=-1, land=None, heads=()):
     kind = key.split(":")[0]
-    return (key, kind, key, org, org_kind, list(givens), list(cores), list(emails), [], list(bases), city, land, list(heads))
+    return (key, kind, key, org, org_kind, list(givens), list(cores), list(emails), [], list(bases), city, land, list(heads), None)
 
 
 def test_family_links_reach_as_far_as_the_classifier(spark):
@@ -114,11 +137,8 @@ def test_near_handles_make_candidates_without_a_name(spark, monkeypatch):
     df = spark.createDataFrame(rows, RECORDS)
     seen = []
     monkeypatch.setattr(Q, "build_records", lambda *_: (df, [], []))
-    monkeypatch.setattr(Q, "pair_features", lambda pairs, *_: seen.extend(pairs.collect()) or pairs.selectExpr("a", "b", "0 AS mail", "0 AS fit", "array() AS x"))
-    monkeypatch.setattr(Q, "known_pairs", lambda *_: None)
-    monkeypatch.setattr(Q, "fit_on_weak_labels", lambda *_: None)
-    monkeypatch.setattr(Q, "score_pairs", lambda *_: None)
-    Q.match_profiles(spark, "")
+    monkeypatch.setattr(Q, "pair_features", lambda pairs, *_: seen.extend(pairs.collect()) or pairs)
+    Q.profile_features(spark, "")
     assert [tuple(p) for p in seen] == [("github:1", "person:1")]
 
 
