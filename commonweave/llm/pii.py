@@ -3,14 +3,21 @@ typed placeholders in its place.
 
 E-mail addresses, phone numbers, identity numbers and street addresses have
 forms of their own. A person's name has none, so it is judged by how much its
-family-name term discloses: over the whole corpus it is counted how often a
-term occurs and how often it stands in a name slot (beside a given name or an
-initial); the pointwise mutual information between the term and the slot says
-how many bits the term reveals about a person being named. Terms above a
-threshold are names, and generalised to a placeholder; words that only happen
-to stand beside a given name reveal little and stay. Which words are given
-names is learned from a table of persons in the same way: a given name has far
-more different partners than a family name.
+family-name term discloses, as in information-theoretic sanitisation: over the
+whole corpus it is counted how often a term occurs and how often it stands in a
+name slot (beside a given name or an initial). The slot, that is, that a person
+is named, has the information content IC = -log2 p(slot); the pointwise mutual
+information of term and slot says how many of these bits the term alone gives
+away, and their ratio is the term's disclosure, at most 1. Terms above a
+threshold are names; words that only happen to stand beside a given name
+disclose little and stay, however they are written. Counts are smoothed, so that
+a term seen once discloses less than one seen often. Which words are given names
+is learned from a table of persons in the same way: a given name has far more
+different partners than a family name.
+
+Once names are known, disclosing_terms() asks the same of every other term with
+the single protected persons in place of the slot: which terms of the texts
+that name a person, alone or together with few others, give that person away.
 """
 
 from __future__ import annotations
@@ -26,16 +33,20 @@ from pyspark.sql import functions as F
 from ..session import cut, spread
 from .editmetric import fold, skeleton
 
-#: Bits that a term must reveal about a name slot, and the least share of its
-#: occurrences that must lie in slots.
-DISCLOSURE_BITS, SLOT_SHARE = 5.0, 0.3
+#: Share of the information of a name slot from which a term is a family name, and the occurrences that
+#: smoothing adds to those of each term.
+DISCLOSURE, SMOOTHING = 0.8, 0.5
+#: The same share for a term and a person, and the texts in which both must stand.
+PERSON_DISCLOSURE, PERSON_TEXTS = 0.8, 3
 #: Share of all (word, partner) pairs from which a word is a given name, and the least number of partners.
 GIVEN_SHARE, GIVEN_LEAST = 1.2e-4, 3
 #: Share of its names in which a given name stands first.
 GIVEN_LEADS = 0.4
-#: Given names sent to the workers; a longer list is refused rather than cut.
-GIVEN_LIMIT = 200_000
+#: Given names sent to the workers: as each has GIVEN_SHARE of all pairs, there cannot be more.
+GIVEN_LIMIT = int(1 / GIVEN_SHARE) + 1
 
+#: Letters of a family name at least: a single one is an initial.
+LEAST_FAMILY = 2
 #: Orders of a name: Given Family; Family Given; Family, Given.
 PLAIN, TURNED, COMMA = 0, 1, 2
 #: Titles and degrees beside names, fixed values.
@@ -212,12 +223,12 @@ class Scanner:
 
 _UPPER = "A-Z\u00c0-\u00d6\u00d8-\u00de\u0410-\u042f"
 _INITIAL = re.compile(rf"(?<![^\W_])[{_UPPER}](?:\.[ \u00a0]?|[ \u00a0])(?=[{_UPPER}])|, [{_UPPER}]\.")
-_GLUED = re.compile(r"([A-Z\u00c0-\u00de][a-z\u00df-\u00ff]+)([A-Z\u00c0-\u00de][a-z\u00df-\u00ff]{3,})\Z")
+_GLUED = re.compile(r"([A-Z\u00c0-\u00de][a-z\u00df-\u00ff]+)([A-Z\u00c0-\u00de][a-z\u00df-\u00ff]+)\Z")
 
 
 def _glued(word: str, given: Given) -> str | None:
     """The family name of a word like GivenFamily."""
-    if len(word) > 6 and not word.isupper() and not word.islower() and (m := _GLUED.match(word)) and m.group(1) in given and m.group(2) not in given:
+    if len(word) > 4 and not word.isupper() and not word.islower() and (m := _GLUED.match(word)) and m.group(1) in given and m.group(2) not in given:
         return m.group(2)
     return None
 
@@ -236,7 +247,7 @@ def _names(text: str, given: Given) -> list[tuple[int, int, str, int]]:
 
     def family(i: int, beside: str = "a") -> bool:
         """Can word i be a family name? It is not in lower case beside a given name that is not."""
-        return i < size and len(words[i][2]) >= 4 and not is_given[i] and (beside[0].islower() or not words[i][2].islower()) and free(i)
+        return i < size and len(words[i][2]) >= LEAST_FAMILY and not is_given[i] and (beside[0].islower() or not words[i][2].islower()) and free(i)
 
     for i in range(size):
         a, b, w = words[i]
@@ -300,7 +311,7 @@ def given_names(names: DataFrame, column: str) -> DataFrame:
     return many.join(placed, "word").filter(F.col("leads") >= GIVEN_LEADS).select("word")
 
 
-def find_pii(texts: DataFrame, given: list[str], bits: float = DISCLOSURE_BITS, slot_share: float = SLOT_SHARE) -> DataFrame:
+def find_pii(texts: DataFrame, given: list[str], disclosure: float = DISCLOSURE, smoothing: float = SMOOTHING) -> DataFrame:
     """(source_table, record_id, version, pii_type, start_pos, end_pos) from
     texts(source_table, record_id, version, text).
 
@@ -323,7 +334,7 @@ def find_pii(texts: DataFrame, given: list[str], bits: float = DISCLOSURE_BITS,
                     rows.append((table, record, version, "name" if order == PLAIN else "name2", a, b, term, 0, 0))
             yield pd.DataFrame(rows, columns=columns)
         counts, slots = scanner.counts(), scanner.slots
-        stats = [(None, None, None, None, 0, 0, t, n, slots[t]) for t, n in counts.items() if len(t) > 2]
+        stats = [(None, None, None, None, 0, 0, t, n, slots[t]) for t, n in counts.items() if len(t) >= LEAST_FAMILY]
         stats.append((None, None, None, None, 0, 0, "", sum(counts.values()), sum(slots.values())))
         for i in range(0, len(stats), 50_000):
             yield pd.DataFrame(stats[i : i + 50_000], columns=columns)
@@ -333,11 +344,7 @@ def find_pii(texts: DataFrame, given: list[str], bits: float = DISCLOSURE_BITS,
     scanned = cut(spread(texts.select("source_table", "record_id", "version", "text").filter("text is not null and text <> ''")).mapInPandas(scan, schema))
     hits = scanned.filter("pii_type is not null and term is null").select("source_table", "record_id", "version", "pii_type", "start_pos", "end_pos")
     counts = scanned.filter("pii_type is null").groupBy("term").agg(F.sum("n").alias("n"), F.sum("s").alias("s"))
-    base = counts.filter("term = ''").select((F.col("s") / F.col("n")).alias("p"))
-    told = counts.filter("term <> '' and s > 0").crossJoin(F.broadcast(base)).select(
-        "term", (F.log2((F.col("s") / F.col("n")) / F.col("p"))).alias("bits"), (F.col("s") / F.col("n")).alias("share")
-    )
-    revealing = told.filter((F.col("bits") >= bits) & (F.col("share") >= slot_share)).select("term", "share")
+    revealing = slot_disclosure(counts, smoothing).filter(F.col("disclosure") >= disclosure).select("term")
     people = scanned.filter("pii_type in ('name', 'name2')").join(revealing, "term")
     # where two readings overlap, the plain order of the words holds
     plain = people.filter("pii_type = 'name'")
@@ -352,6 +359,39 @@ def find_pii(texts: DataFrame, given: list[str], bits: float = DISCLOSURE_BITS,
     return hits.unionByName(people)
 
 
+def slot_disclosure(counts: DataFrame, smoothing: float = SMOOTHING) -> DataFrame:
+    """(term, disclosure) from counts(term, n, s): occurrences of each term and those in a slot; the
+    row with the empty term holds those of all terms. 1 for a term always in a slot, 0 for one that
+    says nothing about it, less for one that speaks against it."""
+    base = counts.filter("term = ''").select((F.col("s") / F.col("n")).alias("p"))
+    share = (F.col("s") + F.lit(smoothing) * F.col("p")) / (F.col("n") + F.lit(smoothing))
+    told = counts.filter("term <> '' and s > 0").crossJoin(F.broadcast(base))  # one row
+    return told.select("term", (F.log2(share / F.col("p")) / F.greatest(-F.log2("p"), F.lit(1e-9))).alias("disclosure"))
+
+
+def disclosing_terms(texts: DataFrame, named: DataFrame, disclosure: float = PERSON_DISCLOSURE, least: int = PERSON_TEXTS) -> DataFrame:
+    """(person, term, n_texts, disclosure): terms that give a person away.
+
+    texts has (key, text), one row for each, named (key, person): the persons that
+    a text names. A term is a word of three letters or more, once for each text.
+    Its disclosure of a person is PMI(term; person) / IC(person), so 1 where every text with the term
+    names that person; it needs `least` texts with both. Terms are counted over
+    all texts, pairs only in those that name somebody.
+    """
+    plain = texts.filter("key is not null and text is not null")
+    words = lambda c: F.array_distinct(F.regexp_extract_all(F.lower(c), F.lit(r"\p{L}[\p{L}\p{M}\p{N}_'-]{2,}"), F.lit(0)))
+    size = plain.agg(F.count("*").alias("size"))
+    people = named.select("key", "person").dropna().distinct()
+    each = people.groupBy("person").agg(F.count("*").alias("n_person"))
+    both = plain.join(people, "key").select("person", F.explode(words("text")).alias("term")).groupBy("person", "term").agg(F.count("*").alias("n_texts")).filter(F.col("n_texts") >= least)
+    asked = both.select("term").distinct()
+    often = plain.select(F.explode(words("text")).alias("term")).groupBy("term").agg(F.count("*").alias("n_term")).join(asked, "term", "left_semi")
+    told = both.join(often, "term").join(each, "person").crossJoin(F.broadcast(size))  # one row
+    content = F.greatest(F.log2(F.col("size") / F.col("n_person")), F.lit(1e-9))
+    pmi = F.log2(F.col("n_texts") * F.col("size") / (F.col("n_term") * F.col("n_person")))
+    return told.select("person", "term", "n_texts", (pmi / content).alias("disclosure")).filter(F.col("disclosure") >= disclosure)
+
+
 def replace_spans(text: str, spans: list[tuple[int, int, str]]) -> str:
     """text with each (start, end, type) replaced by [TYPE]; of overlapping spans the first holds."""
     out, at = [], 0

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from commonweave.llm.pii import Scanner, find_pii, given_names, replace_spans
+from commonweave.llm.pii import Scanner, disclosing_terms, find_pii, given_names, replace_spans, slot_disclosure
 
 GIVEN = ["anna", "felix", "zoé", "vikram"]
 
@@ -38,7 +38,7 @@ def rows(spark, texts):
 
 def test_names_by_disclosure(spark):
     texts = ["Thanks to Anna Zolberg for it.", "-- FELIX M. ZOLBERG", "Zolberg, Anna wrote this", "A. Zolberg said so", "Викрам Золберг", "and vikram zolberg too", "Anna said hello", "we said it, they said it", "the plan said no", "Plan B. Another thing", "one and another and another, another", "another another", None, "", "said " * 3000]
-    found = find_pii(rows(spark, texts + texts[:1]), GIVEN, bits=1.0).filter("pii_type = 'name'")
+    found = find_pii(rows(spark, texts + texts[:1]), GIVEN).filter("pii_type = 'name'")
     got = sorted((r["record_id"], r["start_pos"]) for r in found.collect())
     assert got == [("0", 10), ("1", 3), ("15", 10), ("2", 0), ("3", 0), ("4", 0), ("5", 4)]
     assert find_pii(rows(spark, []).limit(0), GIVEN).count() == 0
@@ -48,3 +48,39 @@ def test_given_names_and_placeholders(spark):
     names = [(f"{g} {f}",) for g in ("Anna", "Felix", "Vikram") for f in ("Zol", "Berg", "Kost", "Mar")] + [("Kost, Anna",), (None,), ("Anna (she)",)]
     assert {r["word"] for r in given_names(spark.createDataFrame(names, "n string"), "n").collect()} == {"anna", "felix", "vikram"}
     assert replace_spans("a bob c", [(2, 5, "name"), (3, 4, "email")]) == "a [NAME] c"
+
+
+#: Words that stand beside a given name now and then, and elsewhere too; names, some seen once.
+ELSEWHERE = ["Garden", "Period", "Down", "Please", "Ok"]
+NAMED = ["Zolberg", "Kost", "Li", "Ng", "Bividorain"]
+
+
+def ablation(spark, **thresholds):
+    texts = [f"{g} {w} then" for g in ("Anna", "Felix") for w in ELSEWHERE] + [f"we saw the {w.lower()} of it" for w in ELSEWHERE for _ in range(9)]
+    texts += [f"met {g} {n} there" for g, n in zip(("Anna", "Felix", "Zoé", "Vikram", "Anna"), NAMED)] + ["met Felix Kost again", "Kost, Felix"] + ["some plain words of no interest"] * 60
+    found = find_pii(rows(spark, texts), GIVEN, **thresholds).filter("pii_type = 'name'").collect()
+    got = {texts[int(r["record_id"])][r["start_pos"] : r["end_pos"]] for r in found}
+    words = {w for g in got for w in g.replace(",", "").split()}
+    return words & set(ELSEWHERE), words & set(NAMED)
+
+
+def test_disclosure_decides(spark):
+    """Without the threshold every word beside a given name is taken; with it those that occur elsewhere
+    are not, and no name is lost, short ones and ones seen once included."""
+    assert ablation(spark, disclosure=-99.0) == (set(ELSEWHERE), set(NAMED))
+    assert ablation(spark) == (set(), set(NAMED))
+    assert ablation(spark, disclosure=1.01) == (set(), set())
+
+
+def test_smoothed_disclosure(spark):
+    counts = [("", 10_000, 100), ("once", 1, 1), ("often", 50, 50), ("half", 50, 25), ("rare", 50, 1), ("never", 50, 0)]
+    got = {r["term"]: r["disclosure"] for r in slot_disclosure(spark.createDataFrame(counts, "term string, n long, s long")).collect()}
+    assert 0.7 < got["once"] < got["often"] < 1 and got["half"] > 0.7 > got["rare"] and "never" not in got
+
+
+def test_terms_that_disclose_a_person(spark):
+    texts = [(f"k{i}", "he keeps the lighthouse at Skarrow and codes") for i in range(4)] + [(f"m{i}", "she codes and writes of many things") for i in range(40)] + [("n", None), (None, "x")]
+    named = [(f"k{i}", "felix kost") for i in range(4)] * 2 + [("m0", "anna li"), ("m1", None)]
+    got = disclosing_terms(spark.createDataFrame(texts, "key string, text string"), spark.createDataFrame(named, "key string, person string")).collect()
+    assert {(r["person"], r["term"]) for r in got} == {("felix kost", w) for w in ("lighthouse", "skarrow", "keeps", "the")} and all(r["disclosure"] > 0.99 for r in got)
+    assert disclosing_terms(spark.createDataFrame([], "key string, text string"), spark.createDataFrame([], "key string, person string")).count() == 0
