@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..tables import table
-from .truth import discover_truth
+from .truth import discover_sources, discover_truth
 
 #: Words that stand for "not known"; fixed values.
 STAND_INS = (
@@ -53,9 +53,37 @@ def p3_found(spark: SparkSession, folder: str) -> DataFrame:
     return truth.select("group_id", "field_name", "field_value")
 
 
+#: Fields of which no date says which value is the newest.
+UNDATED = ("canonical_name", "location_country", "location_timezone", "job_role")
+
+
+def source_claims(spark: SparkSession, folder: str) -> DataFrame:
+    """What each row of a group claims for the undated fields; its source is the platform and
+    method of its most trusted account, so that a source speaks in many groups."""
+    person = table(spark, folder, "person").select("id", *UNDATED)
+    account = F.struct(F.coalesce("resolution_confidence", F.lit(0)).alias("c"), F.concat_ws("/", "platform", "resolution_method").alias("s"))
+    sources = table(spark, folder, "person_platform_identity").filter("person_id is not null").groupBy(F.col("person_id").alias("id")).agg(F.max(account)["s"].alias("source_id"))
+    rows = table(spark, folder, "person_merge").select("group_id", F.col("person_id").alias("id")).dropna().distinct().join(person, "id").join(sources, "id", "left")
+    each = F.array(*[F.struct(F.lit(f).alias("field_name"), F.col(f).alias("field_value")) for f in UNDATED])
+    claims = rows.select("group_id", F.coalesce("source_id", F.lit("no account")).alias("source_id"), F.explode(each).alias("c")).select("group_id", "source_id", "c.*")
+    return claims.withColumn("field_value", clean("field_value")).filter(real(F.col("field_value")))
+
+
+def p3_merged(spark: SparkSession, folder: str) -> DataFrame:
+    """The surviving values of the undated fields, by sources of estimated accuracy."""
+    merged, _ = discover_sources(source_claims(spark, folder))
+    return merged.select("group_id", "field_name", "field_value", F.round("confidence", 4).alias("confidence"))
+
+
+def p3_sources(spark: SparkSession, folder: str) -> DataFrame:
+    """How accurate each source is found to be."""
+    _, sources = discover_sources(source_claims(spark, folder))
+    return sources.select("source_id", F.round("accuracy", 4).alias("accuracy"), "n_claims")
+
+
 _WORDS = ", ".join(f"'{w}'" for w in STAND_INS)
 _CLEAN = r"lower(trim(regexp_replace({}, '[\s\x{{00a0}}]+', ' ', 'g')))"
-QUERIES = {"p3_found": p3_found}
+QUERIES = {"p3_found": p3_found, "p3_merged": p3_merged, "p3_sources": p3_sources}
 SQL = {
     "p3_found": f"""
 WITH rows_ AS (SELECT DISTINCT m.group_id, p.* FROM (SELECT DISTINCT group_id, person_id FROM person_merge) m JOIN person p ON p.id = m.person_id),
