@@ -5,8 +5,8 @@ persons; then records that create persons are collapsed among themselves by
 shared addresses and accounts, one new person for each component.
 
 Candidates come from equi-joins on blocking values only (addresses, accounts,
-handles named in a biography, words of names), so no pair is made that shares
-nothing; names that share a word are then compared by Jaro-Winkler.
+handles named in a biography, the city or employer beside a name, beginnings of words),
+so no pair is made that shares nothing; names are then compared by Jaro-Winkler.
 """
 
 from __future__ import annotations
@@ -16,10 +16,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions.similarity import best_jaro_winkler
+from ..functions.similarity import best_jaro_winkler, jaro_winkler
 from ..functions.text import FREE_MAIL, email_domain, normalize_name
 from ..session import cut
 
+#: So marked, it is not moved before the choice of distinct pairs.
+_similar = jaro_winkler.asNondeterministic()
+
 #: Weight of each kind of evidence; fixed values.
 WEIGHTS = {
     "name_exact": 0.4, "name_fuzzy": 0.2, "email_exact": 0.95, "email_domain": 0.6, "github_link_in_bio": 0.85, "twitter_link_in_bio": 0.85, "linkedin_link_in_bio": 0.85,
@@ -54,19 +57,18 @@ def prepare(df: DataFrame, key: str) -> DataFrame:
 
 def _blocks(df: DataFrame, bio: bool) -> DataFrame:
     """(key, priority, value) of each blocking value: 1 addresses, 2 accounts, 3 handles in
-    the biography, 4 words of names. A frequent word alone brings together only records
-    without context; otherwise it does so within a city or an employer."""
+    the biography, 4 names. A record with a city or employer needs one of them to agree, so those alone
+    bring its names together with the names of persons there, and none is missed; a record
+    without either meets persons by a word of three letters or more that begins alike."""
     own = F.transform("emails", lambda e: F.struct(F.lit(1).alias("priority"), F.concat(F.lit("e:"), e).alias("value")))
     accounts = F.transform("accounts", lambda a: F.struct(F.lit(2).alias("priority"), F.concat(F.lit("a:"), a).alias("value")))
     named = F.array_compact(F.array(*[F.when(F.col(p).isNotNull(), F.struct(F.lit(3).alias("priority"), F.concat(F.lit(f"a:{p}:"), F.col(p)).alias("value"))) for p in ("github", "twitter", "linkedin")]))
-    city, employer = F.concat(F.lit("|c:"), F.col("city")), F.concat(F.lit("|o:"), F.col("employer"))
-    if bio:  # a record with a city or employer needs one of them to agree, so it is blocked together with them
-        ends = F.when(F.col("city").isNull() & F.col("employer").isNull(), F.array(F.lit(""))).otherwise(F.array_compact(F.array(city, employer)))
-    else:
-        ends = F.array_compact(F.array(F.lit(""), city, employer))
-    single = F.filter(F.array_distinct(F.flatten(F.transform("names", lambda n: F.split(n, " ")))), lambda w: F.length(w) >= 2)
-    words = F.flatten(F.transform(single, lambda w: F.transform(ends, lambda e: F.struct(F.lit(4).alias("priority"), F.concat(F.lit("n:"), w, e).alias("value")))))
-    parts = [own, accounts, named, words] if bio else [own, accounts, words]
+    ends = F.when(F.size("names") > 0, F.array_compact(F.array(F.concat(F.lit("c:"), F.col("city")), F.concat(F.lit("o:"), F.col("employer"))))).otherwise(F.array().cast("array<string>"))
+    words = F.array_distinct(F.transform(F.filter(F.flatten(F.transform("names", lambda n: F.split(n, " "))), lambda w: F.length(w) >= 2), lambda w: F.concat(F.lit("n:"), F.substring(w, 1, 3))))
+    if bio:
+        words = F.when(F.size(ends) == 0, words).otherwise(F.array().cast("array<string>"))
+    names = F.transform(F.concat(ends, words), lambda e: F.struct(F.lit(4).alias("priority"), e.alias("value")))
+    parts = [own, accounts, named, names] if bio else [own, accounts, names]
     return df.select("key", F.explode(F.concat(*parts)).alias("b")).select("key", "b.priority", "b.value").distinct()
 
 
@@ -86,6 +88,26 @@ def candidates(records: DataFrame, persons: DataFrame, most: int = MOST_CANDIDAT
     return kept.withColumn("_k", rank).filter(F.col("_k") <= most).drop("_k")
 
 
+def alike_words(left: DataFrame, right: DataFrame, least: float = 0.95) -> DataFrame:
+    """(a, b, s): distinct words of left(value) and right(value) of Jaro-Winkler similarity `least`, 0.95 or more.
+
+    From 0.95 on, the Jaro similarity is at least 0.9167, so the shorter word has three quarters
+    of the longer one's letters, and two words of one length up to 15 have all letters but one in
+    common. Words meet that begin or end with the same three letters, or whose letters,
+    in any order, are the same after leaving out at most one on each side. What remains apart
+    differs within the first three letters and within the last three, and by more than one letter.
+    """
+
+    def keyed(words: DataFrame, name: str) -> DataFrame:
+        letters = F.sort_array(F.split("value", ""))
+        without = F.transform(F.sequence(F.lit(0), F.size(letters) - 1), lambda i: F.concat(F.lit("*"), F.array_join(F.filter(letters, lambda _, k: k != i), "")))
+        keys = F.array_distinct(F.concat(F.array(F.concat(F.lit("^"), F.substring("value", 1, 3)), F.concat(F.lit("$"), F.substring("value", -3, 3)), F.concat(F.lit("*"), F.array_join(letters, ""))), without))
+        return words.filter("length(value) > 0").distinct().select(F.col("value").alias(name), F.explode(keys).alias("key"))
+
+    met = keyed(left, "a").join(keyed(right, "b"), "key").filter(F.least(F.length("a"), F.length("b")) >= 0.75 * F.greatest(F.length("a"), F.length("b")))
+    return met.select("a", "b").distinct().withColumn("s", _similar("a", "b")).filter(F.col("s") >= least)
+
+
 def signals(pairs: DataFrame, records: DataFrame, persons: DataFrame) -> DataFrame:
     """pairs with `signals`: an array of (kind, weight, confidence), only the kinds that fire."""
     both = pairs.join(records.alias("r"), F.col("record") == F.col("r.key")).join(persons.alias("p"), F.col("person") == F.col("p.key"))

@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import jsonx
 from ..functions import text as X
-from ..functions.similarity import jaro_winkler, vector_of, vector_text
+from ..functions.similarity import vector_of, vector_text
 from ..operators import graph, quality, records as R, resolve as I, scoring
 from ..sources import raw, sinks
+from ..session import ensure_checkpoint_dir
 from ..streaming import ingest
 from ..tables import latest_rows, table
 from .frames import SQL_AS_OF, as_of, latest_sql, records
@@ -193,24 +193,8 @@ def event_stream_windows(spark: SparkSession, folder: str) -> DataFrame:
     """The same windows as a stream over the file, run to its end: complete up to the watermark and beyond it."""
     events = table(spark, folder, "events")
     stream = ingest.windowed_counts(spark.readStream.schema(events.schema).parquet(f"{folder}/events.parquet*").withColumn("ts", F.col("ts").cast("timestamp")), "ts", "event_type", "value", "1 day", "2 days")
-    name = f"windows_{abs(hash((folder, id(stream))))}"
-    with tempfile.TemporaryDirectory(prefix="commonweave-stream-") if not spark.conf.get("spark.checkpoint.dir", None) else _Shared(spark) as place:
-        query = stream.writeStream.outputMode("complete").format("memory").queryName(name).option("checkpointLocation", os.path.join(place, name)).trigger(availableNow=True).start()
-        query.awaitTermination()
-    return spark.table(name).select(F.unix_micros("window_start").alias("day"), "event_type", "n", F.round("total", 2).alias("total"))
-
-
-class _Shared:
-    """The cluster's shared folder in place of a temporary one."""
-
-    def __init__(self, spark: SparkSession) -> None:
-        self.path = spark.conf.get("spark.checkpoint.dir")
-
-    def __enter__(self) -> str:
-        return self.path
-
-    def __exit__(self, *_: object) -> None:
-        return None
+    place = f"{ensure_checkpoint_dir(spark)}/stream-{uuid.uuid4().hex}"
+    return ingest.run_to_table(stream, place, "complete").select(F.unix_micros("window_start").alias("day"), "event_type", "n", F.round("total", 2).alias("total"))
 
 
 def latest_event_state(spark: SparkSession, folder: str) -> DataFrame:
@@ -236,24 +220,23 @@ def person_resolution(spark: SparkSession, folder: str) -> DataFrame:
 
 def reconciled_accounts(spark: SparkSession, folder: str) -> DataFrame:
     """Accounts of other persons that fit a person's name: a handle variant of one person only
-    gives 0.92; else the most alike name core of at least 0.95 among those of one beginning and
-    similar length, 0.85 and twice the surplus, 0.95 at most."""
+    gives 0.92; else the most alike name core of at least 0.95, 0.85 and twice the surplus, 0.95 at most."""
     person = records(spark, folder, "person", ["canonical_name", "is_active"]).filter("is_active").select(F.col("id").alias("person"), X.name_core("canonical_name").alias("core"), X.handle_variants("canonical_name").alias("variants")).filter("length(core) >= 5")
     ids = records(spark, folder, "person_platform_identity", ["person_id", "handle"]).select(F.col("id").alias("identity"), "person_id", F.regexp_replace(X.normalize_handle("handle"), "[^a-z0-9]", "").alias("slug")).filter("length(slug) >= 4")
     variants = person.select("person", F.explode("variants").alias("slug"))
     only = variants.groupBy("slug").agg(F.count_distinct("person").alias("n"), F.min("person").alias("person")).filter("n = 1").drop("n")
     exact = ids.join(only, "slug").filter("person <> person_id").select("identity", "person", F.lit(0.92).alias("confidence"))
     rest = ids.join(exact.select("identity"), "identity", "left_anti").filter("length(slug) >= 6")
-    block = lambda c: F.substring(c, 1, 3)
-    near = rest.withColumn("b", block("slug")).join(person.filter("length(core) >= 6").withColumn("b", block("core")), "b").filter("person <> person_id and abs(length(slug) - length(core)) <= 3")
-    near = near.withColumn("s", jaro_winkler("slug", "core")).filter("s >= 0.95")
-    best = near.groupBy("identity").agg(F.max_by(F.struct("person", "s"), F.struct("s", F.xxhash64("person"))).alias("m"))
+    cores = person.filter("length(core) >= 6").select("person", "core")
+    alike = I.alike_words(rest.select(F.col("slug").alias("value")).distinct(), cores.select(F.col("core").alias("value")).distinct(), 0.95)
+    near = rest.join(alike.withColumnRenamed("a", "slug"), "slug").join(cores.withColumnRenamed("core", "b"), "b").filter("person <> person_id")
+    best = near.groupBy("identity").agg(F.min_by(F.struct("person", "s"), F.struct(-F.col("s"), "person")).alias("m"))
     fuzzy = best.select("identity", "m.person", F.least(F.lit(0.95), 0.85 + (F.col("m.s") - 0.95) * 2).alias("confidence"))
-    return exact.unionByName(fuzzy)
+    return exact.unionByName(fuzzy).withColumn("confidence", F.round("confidence", 6))
 
 
 def grouped_sets(spark: SparkSession, folder: str) -> DataFrame:
-    """Talk by platform and topic with subtotals, and topics of persons against events as sets."""
+    """Talk by platform and topic."""
     said = records(spark, folder, "communication", ["source_platform", "topic_tags"]).select("source_platform", F.explode("topic_tags").alias("topic"))
     return said.groupBy("source_platform", "topic").agg(F.count("*").alias("n")).select("source_platform", "topic", "n")
 

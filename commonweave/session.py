@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,14 +30,20 @@ def local_session(cores: int | str = 8, memory: str = "12g") -> SparkSession:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The folder for checkpoints: the one the cluster names in
-    spark.checkpoint.dir, and only where that is unset (tests) an own one."""
+    """The folder for checkpoints: the one the cluster names in spark.checkpoint.dir. Only a
+    local master, as in tests, gets an own one, removed at its end; a cluster that names none
+    is refused, as a folder of one machine would not do."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
-    sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="commonweave-"))
+    if not named:
+        if not (sc.master.startswith("local[") or sc.master == "local"):
+            raise RuntimeError("spark.checkpoint.dir names no shared folder")
+        named = tempfile.mkdtemp(prefix="commonweave-")
+        atexit.register(shutil.rmtree, named, ignore_errors=True)
+    sc.setCheckpointDir(named)
     return sc.getCheckpointDir()
 
 
@@ -46,11 +54,18 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: Bytes of a scan for each task that Spark makes of it at least.
+SPLIT_BYTES = 4 << 20
+
+
 def spread(df: DataFrame) -> DataFrame:
     """df in at least as many partitions as tasks can run at once, for the sake of
-    costly work per row. A scan with enough splits is left as it is."""
+    costly work per row. A scan large enough to be split so is left as it is; its
+    size is taken from the plan, nothing is run."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()  # noqa: SLF001
+    size = sum(int(leaves.apply(i).stats().sizeInBytes().toString()) for i in range(leaves.size()))
+    return df if size >= cores * SPLIT_BYTES else df.repartition(cores)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

@@ -186,7 +186,7 @@ EVENT = (
     "organizers array<struct<name:string,url:string>>"
 )
 #: First path parts of pages that are no events, fixed values.
-NAVIGATION = frozenset("discover calendar signin login signup pricing about help terms privacy blog create home explore settings user users u app download".split())
+NAVIGATION = frozenset("discover login signup signin home create pricing about help terms privacy press manage settings communities community calendar event events u p i cdn-cgi".split())
 
 
 def event_pages(pages: DataFrame) -> DataFrame:

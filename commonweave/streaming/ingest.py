@@ -15,6 +15,12 @@ def once_per_key(stream: DataFrame, keys: list[str], time_col: str, late: str =
     return stream.withWatermark(time_col, late).dropDuplicatesWithinWatermark(keys)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Is there anything at the path, on whatever file system it names?"""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)  # noqa: SLF001
+    return bool(at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at))  # noqa: SLF001
+
+
 def ingest_raw(stream: DataFrame, store: str, keys: list[str], order: str, checkpoint: str) -> StreamingQuery:
     """Write-once ingest: each micro-batch appends the records whose key the store lacks.
     A batch writes below its own number, so that a repeated batch replaces itself."""
@@ -22,11 +28,10 @@ def ingest_raw(stream: DataFrame, store: str, keys: list[str], order: str, check
     def write(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         path = f"{store}/batch={number}"
-        try:
-            old = spark.read.parquet(store).filter(F.col("batch") != number).select(*batch.columns)
-        except Exception:  # noqa: BLE001 - the store does not exist before the first batch
-            old = batch.limit(0)
-        fresh = insert_once(old.limit(0), batch, keys, order).join(old.select(*keys), keys, "left_anti")
+        fresh = insert_once(batch.limit(0), batch, keys, order)
+        if exists(spark, store):  # an error of reading it is not taken for an empty store
+            # only the keys are read
+            fresh = fresh.join(spark.read.parquet(store).filter(F.col("batch") != number).select(*keys), keys, "left_anti")
         fresh.select(*batch.columns).write.mode("overwrite").parquet(path)
 
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
@@ -50,8 +55,16 @@ def read_stream(spark: SparkSession, path: str, schema: object, files: int = 1)
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(path)  # type: ignore[arg-type]
 
 
-def run_to_memory(stream: DataFrame, name: str, mode: str = "append") -> DataFrame:
-    """Run a stream to its present end and return what it gave; for tests and small results."""
-    query = stream.writeStream.outputMode(mode).format("memory").queryName(name).trigger(availableNow=True).start()
+def run_to_table(stream: DataFrame, path: str, mode: str = "append") -> DataFrame:
+    """Run a stream to its present end, its rows into files below path, and return them. In complete mode
+    each micro-batch replaces the whole, in append mode each writes below its own number, so
+    that a repeated one replaces itself; nothing passes through the driver."""
+    place = f"{path}/rows"
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(place if mode == "complete" else f"{place}/batch={number}")
+
+    query = stream.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start()
     query.awaitTermination()
-    return stream.sparkSession.table(name)
+    spark = stream.sparkSession
+    return spark.read.parquet(place).drop("batch") if exists(spark, place) else spark.createDataFrame([], stream.schema)

@@ -113,9 +113,38 @@ def test_streams(spark, tmp_path):
     rows = spark.createDataFrame([("a", dt.datetime(2025, 1, 1, 0, 1), "x", 1.0), ("a", dt.datetime(2025, 1, 1, 0, 2), "x", 2.0), ("b", dt.datetime(2025, 1, 1, 2), "y", 3.0)], "k string, t timestamp, g string, v double")
     rows.repartition(1).write.parquet(str(tmp_path / "in"))
     stream = ingest.read_stream(spark, str(tmp_path / "in"), rows.schema)
-    assert ingest.run_to_memory(ingest.once_per_key(stream, ["k"], "t"), "once").count() == 2
-    counts = ingest.run_to_memory(ingest.windowed_counts(stream, "t", "g", "v", "1 hour", "1 hour"), "counts", "complete")
+    assert ingest.run_to_table(ingest.once_per_key(stream, ["k"], "t"), str(tmp_path / "once")).count() == 2
+    counts = ingest.run_to_table(ingest.windowed_counts(stream, "t", "g", "v", "1 hour", "1 hour"), str(tmp_path / "counts"), "complete")
     assert {(r["g"], r["n"], r["total"]) for r in counts.collect()} == {("x", 2, 3.0), ("y", 1, 3.0)}
     for _ in range(2):
         ingest.ingest_raw(stream, str(tmp_path / "store"), ["k"], "t", str(tmp_path / "cp")).awaitTermination()
     assert spark.read.parquet(str(tmp_path / "store")).count() == 2
+
+
+def test_statements_reach_only_the_catalog(spark):
+    spark.range(3).createOrReplaceTempView("three")
+    for sql, code in (
+        ("select java_method('java.lang.System', 'getProperty', 'user.name')", "function"), ("select * from three where reflect('java.lang.System', 'getProperty', 'user.name') is null", "function"),
+        ("select value from text.`/etc/hostname`", "not_a_table"), ("with x as (select * from parquet.`/tmp`) select * from x", "not_a_table"),
+        ("select (select max(value) from csv.`/etc/hostname`) from three", "not_a_table"), ("select * from three where exists (select 1 from json.`/etc/hostname`)", "not_a_table"),
+        ("select * from nowhere", "unknown_name"), ("select * fro three", "syntax"),
+    ):
+        with pytest.raises(adhoc.QueryRefused) as e:
+            adhoc.run_select(spark, sql)
+        assert e.value.code == code, sql
+    assert len(adhoc.run_select(spark, "with x as (select id from three union all select * from range(2)) select * from x join three using (id)").rows) == 5
+
+
+def test_every_attempt_is_logged(spark, tmp_path):
+    spark.range(3).createOrReplaceTempView("three")
+    broken = lambda: spark.sql("select raise_error('x') as a from three")
+    asker = adhoc.Asker(spark, {"three": lambda: spark.table("three"), "broken": broken}, sink=adhoc.log_folder(spark, str(tmp_path / "log")))
+    asker.ask(preset="three"), asker.ask(preset="three")
+    for attempt in (lambda: asker.preset("broken"), lambda: asker.preset("none"), lambda: asker.sql("select raise_error('y') from three"), lambda: asker.question("?"), lambda: asker.ask()):
+        with pytest.raises(Exception):  # noqa: B017
+            attempt()
+    outcomes = [e["outcome"] for e in asker.log]
+    assert outcomes == ["ok", "cached", "error", "unknown_preset", "error", "no_translator", "empty"]
+    assert sorted(r["outcome"] for r in spark.read.json(str(tmp_path / "log")).collect()) == sorted(outcomes)
+    failing = adhoc.Asker(spark, {"three": lambda: spark.table("three")}, sink=lambda _: 1 / 0)
+    assert len(failing.preset("three").rows) == 3 and failing.log[0]["unsaved"]
