@@ -48,6 +48,23 @@ def confusion(df: DataFrame, predicted: str, actual: str) -> DataFrame:
     )
 
 
+def relevance_buckets(df: DataFrame, column: str, group: str) -> DataFrame:
+    """(group, none, low, medium, high): rows by quarter-like classes of a score: 0, below 0.4, below 0.7, from there on."""
+    v = F.coalesce(F.col(column).cast("double"), F.lit(0.0))
+    n = lambda c: F.count(F.when(c, 1))
+    return df.groupBy(group).agg(n(v <= 0).alias("none"), n((v > 0) & (v < 0.4)).alias("low"), n((v >= 0.4) & (v < 0.7)).alias("medium"), n(v >= 0.7).alias("high"))
+
+
+def most_wrong(df: DataFrame, key: str, confidence: str, right: str, n: int = 3) -> DataFrame:
+    """The n rows judged wrong with most confidence."""
+    return df.filter(~F.col(right)).orderBy(F.desc_nulls_last(confidence), key).limit(n)
+
+
+def stage_counters(df: DataFrame, group: str, stages: Mapping[str, F.Column]) -> DataFrame:
+    """(group, seen, one column for each stage): how many rows a pipeline saw and brought through each stage, in one pass."""
+    return df.groupBy(group).agg(F.count("*").alias("seen"), *[F.count(F.when(ok, 1)).alias(name) for name, ok in stages.items()])
+
+
 def schema_hash(df: DataFrame) -> str:
     """A hash of a schema, to notice drift."""
     import hashlib

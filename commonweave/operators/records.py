@@ -89,3 +89,10 @@ def split_valid(df: DataFrame, rules: dict[str, Column]) -> tuple[DataFrame, Dat
     broken = F.array_compact(F.array(*[F.when(~F.coalesce(ok, F.lit(False)), F.lit(name)) for name, ok in rules.items()]))
     judged = df.withColumn("broken_rules", broken)
     return judged.filter(F.size("broken_rules") == 0).drop("broken_rules"), judged.filter(F.size("broken_rules") > 0)
+
+
+def signal_with_audit(observed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(signals, audit rows) from observed(person_id, signal_type, observed_at, source_record_id). Both are one
+    function of the same rows, with ids of the content, so that writing both again after a failure adds nothing twice."""
+    signal = observed.withColumn("id", F.sha2(F.concat_ws("|", "person_id", "signal_type", "source_record_id"), 256))
+    return signal, signal.select(F.col("id").alias("signal_id"), F.lit("signal_emitted").alias("action"), F.col("observed_at").alias("at"))

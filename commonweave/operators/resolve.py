@@ -155,8 +155,7 @@ def resolve(records: DataFrame, persons: DataFrame, require_identity_signal: boo
     require_identity_signal turns a merge without name, address or biography
     evidence into a review.
     """
-    explicit = _blocks(records, False).filter("priority < 3").select(F.col("key").alias("record"), "priority", "value").join(_blocks(persons, False).filter("priority < 3").select(F.col("key").alias("person"), "value"), "value")
-    first = explicit.groupBy("record").agg(F.min_by("person", F.struct("priority", "person")).alias("linked"))
+    first = explicit_links(records, persons).select("record", F.col("person").alias("linked"))
     scored = signals(candidates(records, persons), records, persons).filter(F.size("signals") > 0).withColumn("score", confidence(F.col("signals")))
     best = scored.groupBy("record").agg(F.max_by(F.struct("person", "score", "signals"), F.struct("score", F.xxhash64("person"))).alias("top"), F.max("score").alias("m"), F.count("*").alias("n"))
     least = scored.join(best.select("record", "m"), "record").filter("score = m").groupBy("record").agg(F.min_by(F.struct("person", "score", "signals"), "person").alias("b"))
@@ -209,6 +208,48 @@ def apply_merges(resolved: DataFrame, records: DataFrame, persons: DataFrame) ->
     return joined.select(*cols)
 
 
+def explicit_links(records: DataFrame, persons: DataFrame) -> DataFrame:
+    """(record, person, by): the person that a record's address, else its account, names; the least id of several."""
+    kind = F.when(F.col("priority") == 1, "email").otherwise("account")
+    left = _blocks(records, False).filter("priority < 3").select(F.col("key").alias("record"), "priority", "value")
+    right = _blocks(persons, False).filter("priority < 3").select(F.col("key").alias("person"), "value")
+    return left.join(right, "value").groupBy("record").agg(F.min(F.struct("priority", "person")).alias("m")).select("record", F.col("m.person").alias("person"), F.col("m.priority").alias("priority")).withColumn("by", kind).drop("priority")
+
+
+def decision_log(resolved: DataFrame, at: Column) -> DataFrame:
+    """One audit row for every record, whatever was decided, its confidence to two digits."""
+    return resolved.select("record", "person", "action", F.round("confidence", 2).alias("confidence"), "reasoning", "n_candidates", at.alias("decided_at"))
+
+
+def review_queue(resolved: DataFrame, scored: DataFrame, most: int = 3) -> DataFrame:
+    """(record, reason, candidates): what a human has to look at, reviews and skips alike, with
+    the best `most` candidates of scored(record, person, score)."""
+    waiting = resolved.filter("action in ('human_review', 'skip')").select("record", F.col("action").alias("reason"))
+    rank = F.row_number().over(Window.partitionBy("record").orderBy(F.desc("score"), "person"))
+    best = scored.join(waiting, "record", "left_semi").withColumn("k", rank).filter(F.col("k") <= most)
+    listed = best.groupBy("record").agg(F.transform(F.array_sort(F.collect_list(F.struct("k", "person", "score"))), lambda x: F.struct(x["person"].alias("person"), x["score"].alias("score"))).alias("candidates"))
+    return waiting.join(listed, "record", "left")
+
+
+def display_name(canonical: Column, seen: Column, handle: Column, email: Column) -> Column:
+    """The name of a new person: the given one, else the first seen, the handle, the address, else 'unknown'."""
+    real = lambda c: F.nullif(F.trim(c), F.lit(""))
+    first = F.get(F.filter(F.coalesce(seen, F.array().cast("array<string>")), lambda n: F.length(F.trim(n)) > 0), F.lit(0))
+    return F.coalesce(real(canonical), real(first), real(handle), real(email), F.lit("unknown"))
+
+
+def new_persons(resolved: DataFrame, records: DataFrame) -> DataFrame:
+    """(id, canonical_name, names, emails, primary_email, accounts, city, country, timezone, employer): a person
+    for each entity of the records to be created; lists joined, of single values the first record's."""
+    made = records.join(resolved.filter("action = 'create_new'").select(F.col("record").alias("key")), "key", "left_semi")
+    whole = made.join(collapse_new(made).withColumnRenamed("record", "key"), "key")
+    lists, single = ("names", "emails", "accounts"), ("city", "country", "timezone", "employer")
+    merged = whole.groupBy("entity").agg(*[F.array_sort(F.array_distinct(F.flatten(F.collect_set(c)))).alias(c) for c in lists], *[F.min_by(c, F.struct(F.col(c).isNull(), "key")).alias(c) for c in single])
+    handle = F.substring_index(F.get("accounts", F.lit(0)), ":", -1)
+    name = display_name(F.lit(None).cast("string"), F.col("names"), handle, F.get("emails", F.lit(0)))
+    return merged.select(F.concat(F.lit("new:"), F.sha2("entity", 256)).alias("id"), name.alias("canonical_name"), "names", "emails", F.get("emails", F.lit(0)).alias("primary_email"), "accounts", *single)
+
+
 def tier3_confidence(cosine: Column, found: Column) -> Column:
     """Embedding evidence: 0 below likeness 0.85 or without other evidence, else by likeness and the weighted evidence."""
     support = F.aggregate(found, F.lit(0.0), lambda s, x: s + x["weight"] * x["confidence"])

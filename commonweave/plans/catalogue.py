@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from types import ModuleType
 
-from . import extras, lookups, processing, rollups, threads
+from . import api, extras, lookups, processing, rollups, threads
 
 FLAGSHIP = "city_signal"
 
 
 def modules() -> list[ModuleType]:
     """All plan modules of the core."""
-    return [rollups, lookups, processing, extras, threads]
+    return [rollups, lookups, api, processing, extras, threads]

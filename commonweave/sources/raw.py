@@ -8,6 +8,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions.jsonx import payload_hash
 
@@ -179,6 +180,26 @@ def profile_identities(profiles: DataFrame) -> DataFrame:
     return profiles.select("login", F.explode(found).alias("i")).select("login", "i.platform", F.regexp_replace(F.lower(F.trim("i.handle")), "^@", "").alias("handle")).distinct()
 
 
+def accounts_to_poll(identities: DataFrame, platform: str, otherwise: list[str]) -> DataFrame:
+    """(handle): the accounts of a platform in lower case, each once; a given list where there is none."""
+    found = identities.filter(F.col("platform") == platform).select(F.lower(F.trim("handle")).alias("handle")).filter("handle <> ''").distinct()
+    return found if found.limit(1).count() else identities.sparkSession.createDataFrame([(h,) for h in otherwise], "handle string")
+
+
+def with_top(owners: DataFrame, things: DataFrame, on: str, rank: Column, keep: str, n: int) -> DataFrame:
+    """owners with `top`: the `keep` values of their n highest-ranked things, best first, none as an empty array."""
+    place = F.row_number().over(Window.partitionBy(on).orderBy(F.desc(rank)))
+    best = things.withColumn("_k", place).filter(F.col("_k") <= n).groupBy(on).agg(F.transform(F.array_sort(F.collect_list(F.struct("_k", keep))), lambda x: x[keep]).alias("top"))
+    return owners.join(best, on, "left").withColumn("top", F.coalesce("top", F.array()))
+
+
+def two_passes(first: DataFrame, second: DataFrame, key: str) -> DataFrame:
+    """(key, second_only): what two searches found, each once, marked where only the second did."""
+    one = first.select(key).dropna().distinct()
+    only = second.select(key).dropna().distinct().join(one, key, "left_anti")
+    return one.withColumn("second_only", F.lit(False)).unionByName(only.withColumn("second_only", F.lit(True)))
+
+
 # -- event pages --------------------------------------------------------------------------------
 
 EVENT = (
