@@ -253,7 +253,64 @@ QUERIES = {f.__name__: f for f in (
     event_stream_windows, latest_event_state, person_resolution, reconciled_accounts, grouped_sets,
 )}
 _WINDOWS = "SELECT epoch_us(time_bucket(INTERVAL 1 DAY, ts)) AS day, event_type, count(*) AS n, round(sum(value), 2) AS total FROM events GROUP BY 1, 2"
+_NORM = lambda c: f"trim(regexp_replace(lower(strip_accents({c})), '\\s+', ' ', 'g'))"
+_CORE = lambda c: f"regexp_replace(lower(strip_accents({c})), '[^a-z0-9]', '', 'g')"
+_DOMAIN = lambda c: f"lower(coalesce(regexp_extract(trim({c}), '^.+@([^@]+)$', 1), ''))"
+_SLUG = "regexp_replace(regexp_replace(lower(trim(handle)), '^@', ''), '[^a-z0-9]', '', 'g')"
+#: Handles that a name suggests: (id, is_active, core, variant).
+_VARIANTS = (
+    f"(SELECT id, is_active, core, unnest(list_distinct(list_filter(v, lambda x: length(x) >= 4))) AS variant FROM (SELECT id, is_active, core, list_concat([array_to_string(p, '')], "
+    f"CASE WHEN len(p) > 1 THEN [p[1] || p[-1][1], p[1][1] || p[-1], p[-1] || p[1]] ELSE [] END, list_filter([p[1], p[-1]], lambda x: length(x) >= 5)) AS v FROM "
+    f"(SELECT id, is_active, {_CORE('canonical_name')} AS core, list_filter(string_split(regexp_replace({_NORM('canonical_name')}, '[^a-z0-9 ]', '', 'g'), ' '), lambda x: x <> '') AS p FROM {_P} WHERE canonical_name IS NOT NULL)))"
+)
+_FREE = repr(X.FREE_MAIL)
+_DOMAINS = lambda c: f"list_filter(list_transform({c}, lambda x: coalesce(regexp_extract(x, '^.+@([^@]+)$', 1), '')), lambda d: d <> '' AND d NOT IN {_FREE})"
+_RESOLUTION = f"""WITH r AS (SELECT CAST(id AS VARCHAR) AS record, list_filter([{_NORM('name')}], lambda x: x <> '') AS names, list_filter([lower(trim(email, ' '))], lambda x: contains(x, '@')) AS emails,
+  nullif(lower(trim(split_part(location, ',', 1), ' ')), '') AS city, replace(lower(trim('github:' || login, ' ')), ':@', ':') AS acct, nullif(regexp_replace(lower(trim(twitter_username, ' ')), '^@', ''), '') AS tw FROM {_G}),
+h AS (SELECT person_id, list(replace(lower(trim(concat_ws(':', platform, handle), ' ')), ':@', ':')) AS accts FROM {_I} WHERE handle IS NOT NULL GROUP BY 1),
+p AS (SELECT id AS person, list_distinct(list_filter(list_transform(list_concat([canonical_name], coalesce(names_seen, [])), lambda x: {_NORM('x')}), lambda x: x <> '')) AS names,
+  list_distinct(list_filter(list_transform(list_concat(coalesce(emails_seen, []), [primary_email]), lambda x: lower(trim(x, ' '))), lambda x: contains(x, '@'))) AS emails, nullif(lower(trim(location_city, ' ')), '') AS city, coalesce(accts, []) AS accts
+  FROM {_P} LEFT JOIN h ON h.person_id = id WHERE is_active),
+pa AS (SELECT person, unnest(accts) AS a FROM p), w AS (SELECT record, unnest(string_split(names[1], ' ')) AS w FROM r WHERE city IS NULL AND len(names) > 0), pw AS (SELECT person, unnest(flatten(list_transform(names, lambda n: string_split(n, ' ')))) AS w FROM p),
+e AS (SELECT a.record, b.person FROM (SELECT record, unnest(emails) AS e FROM r) a JOIN (SELECT person, unnest(emails) AS e FROM p) b ON a.e = b.e), g AS (SELECT record, person FROM r JOIN pa ON pa.a = r.acct),
+c AS (SELECT record, person, min(pr) AS pr FROM (SELECT *, 1 AS pr FROM e UNION ALL SELECT *, 2 FROM g UNION ALL SELECT record, person, 3 FROM r JOIN pa ON pa.a = 'twitter:' || r.tw
+  UNION ALL SELECT record, person, 4 FROM r JOIN p ON r.city = p.city WHERE len(r.names) > 0 AND len(p.names) > 0
+  UNION ALL SELECT record, person, 4 FROM w JOIN pw ON substr(w.w, 1, 3) = substr(pw.w, 1, 3) WHERE length(w.w) >= 2 AND length(pw.w) >= 2) GROUP BY 1, 2),
+j0 AS (SELECT DISTINCT r.names[1] AS x, unnest(p.names) AS y FROM c JOIN r USING (record) JOIN p USING (person) WHERE len(r.names) > 0),
+j1 AS (SELECT x, y, string_split(x, '') AS a, string_split(y, '') AS b, greatest(length(x), length(y)) // 2 - 1 AS reach FROM j0),
+j2 AS (SELECT *, list_reduce(list_transform(range(1, len(a) + 1), lambda i: [i]), lambda acc, e: list_append(acc, coalesce(list_filter(range(greatest(1, e[1] - reach), least(len(b), e[1] + reach) + 1), lambda j: b[j] = a[e[1]] AND NOT list_contains(acc, j))[1], 0)), CAST([] AS BIGINT[])) AS t FROM j1),
+j3 AS (SELECT *, list_transform(list_filter(range(1, len(a) + 1), lambda i: t[i] > 0), lambda i: a[i]) AS fa, list_transform(list_sort(list_filter(t, lambda v: v > 0)), lambda v: b[v]) AS fb FROM j2),
+j4 AS (SELECT *, CASE WHEN x = y THEN 1.0 WHEN len(fa) = 0 THEN 0.0 ELSE (len(fa) / len(a) + len(fa) / len(b) + (len(fa) - len(list_filter(range(1, len(fa) + 1), lambda i: fa[i] <> fb[i])) / 2) / len(fa)) / 3 END AS s,
+  CASE WHEN a[1] <> b[1] THEN 0 WHEN a[2] IS NULL OR b[2] IS NULL OR a[2] <> b[2] THEN 1 WHEN a[3] IS NULL OR b[3] IS NULL OR a[3] <> b[3] THEN 2 WHEN a[4] IS NULL OR b[4] IS NULL OR a[4] <> b[4] THEN 3 ELSE 4 END AS pre FROM j3),
+j AS (SELECT x, y, CASE WHEN s IN (0, 1) THEN s ELSE s + pre * 0.1 * (1 - s) END AS jw FROM j4),
+y AS (SELECT c.record, c.person, max(jw) AS lk FROM c JOIN r USING (record) JOIN (SELECT person, unnest(names) AS y FROM p) q USING (person) JOIN j ON j.x = r.names[1] AND j.y = q.y GROUP BY 1, 2),
+l AS (SELECT c.record, c.person, pr, r.names AS rn, p.names AS pn, r.emails AS re, p.emails AS pe, r.city AS rc, p.city AS pc, r.tw, p.accts, coalesce(y.lk, 0) AS lk FROM c JOIN r USING (record) JOIN p USING (person) LEFT JOIN y USING (record, person)),
+k AS (SELECT *, list_has_any(rn, pn) AS same FROM l WHERE pr < 4 OR (lk >= 0.8 AND (rc IS NULL OR rc = pc)) QUALIFY row_number() OVER (PARTITION BY record ORDER BY pr, lk DESC, person) <= 20),
+n AS (SELECT *, CASE WHEN same THEN 1.0 WHEN lk >= 0.85 THEN greatest(0.5, (lk - 0.85) / 0.15) END AS nc FROM k),
+s AS (SELECT record, person, list_filter([CASE WHEN same THEN {{'w': 0.4, 'c': 1.0}} WHEN nc IS NOT NULL THEN {{'w': 0.2, 'c': nc}} END, CASE WHEN list_has_any(re, pe) THEN {{'w': 0.95, 'c': 1.0}} END,
+  CASE WHEN nc IS NOT NULL AND list_has_any({_DOMAINS('re')}, {_DOMAINS('pe')}) THEN {{'w': 0.6, 'c': nc}} END, CASE WHEN list_contains(accts, 'twitter:' || tw) THEN {{'w': 0.85, 'c': 1.0}} END, CASE WHEN rc = pc THEN {{'w': 0.2, 'c': 1.0}} END], lambda x: x IS NOT NULL) AS ev FROM n),
+t AS (SELECT record, person, least(1.0, list_sum(list_transform(ev, lambda x: CAST(x.w * x.c AS DOUBLE))) / list_sum(list_transform(ev, lambda x: CAST(x.w AS DOUBLE))) + CASE WHEN len(ev) >= 2 THEN least(0.15, len(ev) * 0.03) ELSE 0 END) AS score FROM s WHERE len(ev) > 0),
+b AS (SELECT record, arg_min(person, (-round(score, 9), person)) AS person, max(score) AS score, count(*) AS n FROM t GROUP BY 1),
+x AS (SELECT record, min((pr, person))[2] AS linked FROM (SELECT *, 1 AS pr FROM e UNION ALL SELECT *, 2 FROM g) GROUP BY 1)
+SELECT r.record, CASE WHEN linked IS NOT NULL OR score >= 0.85 THEN 'merge' WHEN score >= 0.65 THEN 'human_review' WHEN n > 0 THEN 'skip' ELSE 'create_new' END AS action, coalesce(linked, CASE WHEN score >= 0.65 THEN b.person END) AS person,
+  CASE WHEN linked IS NOT NULL THEN 1.0 ELSE floor(coalesce(score, 0) * 100 + 0.5) / 100 END AS confidence, coalesce(n, 0) AS n_candidates FROM r LEFT JOIN b USING (record) LEFT JOIN x USING (record)"""
 SQL = {
+    "person_resolution": _RESOLUTION,
+    "scalar_text": f"SELECT id, {_NORM('canonical_name')} AS name, {_CORE('canonical_name')} AS core, CASE WHEN primary_email IS NOT NULL THEN {_DOMAIN('primary_email')} ELSE '' END AS domain, "
+    "CASE WHEN concat_ws(', ', nullif(trim(location_city, ' '), ''), nullif(trim(location_country, ' '), '')) = '' THEN '—' ELSE concat_ws(', ', nullif(trim(location_city, ' '), ''), nullif(trim(location_country, ' '), '')) END AS place, "
+    f"substr(sha256(lower(trim(primary_email))), 1, 12) AS email_hash, replace(replace(replace(url_encode(location_city), '+', '%20'), '~', '%7E'), '%2A', '*') AS encoded FROM {_P}",
+    "handle_candidates": f"SELECT i.platform, count(DISTINCT i.id) AS identities, count(DISTINCT v.id) AS persons FROM {_VARIANTS} v JOIN (SELECT id, platform, {_SLUG} AS slug FROM {_I}) i ON i.slug = v.variant GROUP BY 1",
+    "account_identities": f"""WITH g AS (SELECT login, concat_ws(' ', bio, blog) AS about, twitter_username FROM {_G}),
+f AS (SELECT login, 'github' AS platform, login AS h FROM g UNION ALL SELECT login, 'twitter', coalesce(nullif(trim(twitter_username, ' '), ''), nullif(regexp_extract(about, '(?i)(?:twitter|x)\\.com/@?([A-Za-z0-9_]{{2,}})', 1), '')) FROM g
+  UNION ALL SELECT login, 'linkedin', nullif(regexp_extract(about, '(?i)linkedin\\.com/in/([A-Za-z0-9_-]+)', 1), '') FROM g),
+d AS (SELECT DISTINCT login, platform, regexp_replace(lower(trim(h, ' ')), '^@', '') AS handle FROM f WHERE h IS NOT NULL)
+SELECT platform, count(*) AS n, count(DISTINCT handle) AS handles FROM d GROUP BY 1""",
+    "reconciled_accounts": f"""WITH i AS (SELECT id AS identity, person_id, {_SLUG} AS slug FROM {_I} WHERE length({_SLUG}) >= 4),
+o AS (SELECT variant AS slug, min(id) AS person FROM {_VARIANTS} WHERE is_active AND length(core) >= 5 GROUP BY 1 HAVING count(DISTINCT id) = 1),
+e AS (SELECT i.identity, o.person FROM i JOIN o USING (slug) WHERE o.person <> i.person_id),
+n AS (SELECT i.identity, p.id AS person, jaro_winkler_similarity(i.slug, p.core) AS s FROM i, (SELECT DISTINCT id, core FROM {_VARIANTS} WHERE is_active AND length(core) >= 6) p
+  WHERE length(i.slug) >= 6 AND p.id <> i.person_id AND i.identity NOT IN (SELECT identity FROM e) AND s >= 0.95)
+SELECT identity, person, 0.92 AS confidence FROM e UNION ALL SELECT identity, arg_min(person, (-s, person)), round(least(0.95, 0.85 + (max(s) - 0.95) * 2), 6) FROM n GROUP BY 1""",
     "text_measures": f"SELECT id, len(regexp_extract_all(lower(content_text), '[a-z0-9_]+')) AS n_tokens, len(list_distinct(regexp_extract_all(lower(content_text), '[a-z0-9_]+'))) AS n_words, length(substring(content_text, 1, 80)) AS cut, "
     f"nullif(regexp_replace(lower(regexp_extract(content_url, '^[a-z]+://([^/:?#]+)', 1)), '^www\\.', ''), '') AS host, trim(content_text) IN ('[deleted]', '[removed]', '') AS is_redacted FROM {_C} WHERE content_text IS NOT NULL",
     "text_relevance": f"SELECT thing_id, floor(greatest(0, least(1, {_SCORE})) * 1000 + 0.5) / 1000 AS relevance FROM {_R} WHERE regexp_matches(concat_ws(' ', title, selftext, body), '\\b{WORD}\\b', 'i') AND floor(greatest(0, least(1, {_SCORE})) * 1000 + 0.5) > 0",
