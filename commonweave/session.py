@@ -64,7 +64,7 @@ def spread(df: DataFrame) -> DataFrame:
     size is taken from the plan, nothing is run."""
     cores = df.sparkSession.sparkContext.defaultParallelism
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()  # noqa: SLF001
-    size = sum(int(leaves.apply(i).stats().sizeInBytes().toString()) for i in range(leaves.size()))
+    size = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
     return df if size >= cores * SPLIT_BYTES else df.repartition(cores)
 
 
