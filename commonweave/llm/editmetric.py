@@ -135,7 +135,7 @@ class BkTree:
         """(distance, entry) of every entry within radius, nearest first."""
         found, reach, own = [], 2 * radius, _letters(query)
         stack = [root for n, root in self.roots.items() if abs(n - len(query)) <= radius]
-        distance = _distance_from(query)
+        distance = distance_from(query)
         while stack:
             at = stack.pop()
             below, letters = self.children[at], self.letters[at]
@@ -158,7 +158,7 @@ def _letters(text: str) -> int:
     return out
 
 
-def _distance_from(a: str) -> Callable[[str], int]:
+def distance_from(a: str) -> Callable[[str], int]:
     """levenshtein(a, .) with the part that depends on `a` alone done once."""
     masks: dict[str, int] = {}
     for i, c in enumerate(a):

@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import shuffle_partitions
-from .editmetric import damerau, levenshtein, within
+from ..session import cut, shuffle_partitions
+from .editmetric import damerau, distance_from, levenshtein, within
 
 #: MinHash rows of a band, over the pairs of letters at most WINDOW apart: on names such pairs keep two
 #: strings two edits apart at a similarity of 0.5 and more, and strangers below 0.1.
@@ -23,11 +23,10 @@ BANDS, FEW_BANDS = 65, 15
 #: Least length of strings that may differ, and the length up to which letters are left out in place of
 #: bands: two edits change too many of a short string's letter pairs for MinHash to find it.
 LEAST, SHORT = 5, 8
-#: Pivots of the metric space, and the sample of strings that they are chosen from.
-PIVOTS, PIVOT_SAMPLE = 16, 2_000
-#: Strings for each part into which a cell is split.
+#: Pivots whose distances sift pairs within a cell, and the sample of strings that they are chosen from.
+PIVOTS, PIVOT_SAMPLE = 3, 2_000
+#: Strings at home in a cell for each part into which it is split.
 PART_STRINGS = 50_000
-_PRIME = (1 << 61) - 1
 
 
 def _hashes() -> tuple[np.ndarray, np.ndarray]:
@@ -126,57 +125,66 @@ def _shorter(text: str, times: int) -> set[str]:
     return out
 
 
-def radius_join(values: DataFrame, radius: int = 1, pivots: int = PIVOTS) -> DataFrame:
+def radius_join(values: DataFrame, radius: int = 1, pivots: int = PIVOTS, part_strings: int = PART_STRINGS) -> DataFrame:
     """(a, b, dist) for values(value), distinct: every pair a < b within `radius`
     under damerau(), and every (a, a) with dist 0.
 
-    Each string belongs to the cell of its nearest pivot; by the triangle inequality
-    the pivot of its partner's cell is at most twice the radius farther away. A pair
-    meets in the earlier of its two cells, so a string is copied only into earlier
-    cells within that reach.
-    Within a cell only strings that agree after leaving out up to `radius`
-    letters are compared, which loses no pair. A cell is split by the hash of what
-    is left, into more parts the more strings there are, so that no task's part
-    of it grows with the input.
+    The space is cut into rings about the one pivot from which all strings lie at well
+    spread distances: the empty string, whose distance to a string is its length. By
+    the triangle inequality a partner lies at most `radius` rings away, so a string is at
+    home in its own ring and copied into the `radius` rings below, and a pair meets in
+    the lower ring of the two. (Cells of nearest pivots were measured: names lie so
+    close together that each was copied into half of all cells.) Within a cell only
+    strings that agree after leaving out up to `radius` letters are compared, which
+    loses no pair, and of these only those whose distances to further pivots, chosen far
+    apart, allow it. A cell is split by the hash of what is left, into more parts the
+    more strings are at home in the fullest ring, so that no task's part of it grows with the input.
     """
     values = values.filter("value is not null and value <> ''").select("value").distinct()
+    values = cut(values)
     sample = [r[0] for r in values.orderBy(F.xxhash64("value"), "value").limit(PIVOT_SAMPLE).collect()]
     chosen = choose_pivots(sample, pivots)
     same = values.select(F.col("value").alias("a"), F.col("value").alias("b"), F.lit(0).alias("dist"))
     if not chosen:
         return same
+    fullest = values.groupBy(F.length("value").alias("n")).count().agg(F.max("count")).first()[0]
+    parts = 1 + fullest * radius // part_strings
 
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        distances = [distance_from(p) for p in chosen]
         for pdf in batches:
             rows = []
             for v in pdf["value"]:
-                far = [levenshtein(v, p) for p in chosen]
-                least = min(far)
-                home = far.index(least)
-                # exchanges count one in damerau() and at most two in levenshtein()
-                split = sorted({zlib.crc32(s.encode()) % parts for s in _shorter(v, radius)})
-                rows += [(v, k, k == home, part) for k, d in enumerate(far[: home + 1]) if d <= least + 4 * radius for part in split]
-            yield pd.DataFrame(rows, columns=["value", "cell", "home", "part"])
+                far = [d(v) for d in distances]
+                split = range(1) if parts == 1 else sorted({zlib.crc32(s.encode()) % parts for s in _shorter(v, radius)})
+                rows += [(v, ring, part, far) for ring in range(max(1, len(v) - radius), len(v) + 1) for part in split]
+            yield pd.DataFrame(rows, columns=["value", "ring", "part", "far"])
 
     n = shuffle_partitions(values.sparkSession)
-    parts = 1 + values.count() * radius // PART_STRINGS
-    cells = values.repartition(n, "value").mapInPandas(assign, "value string, cell int, home boolean, part int")
+    cells = values.repartition(n, "value").mapInPandas(assign, "value string, ring int, part int, far array<int>").repartition(n, "ring", "part")
 
     def join_cell(pdf: pd.DataFrame) -> pd.DataFrame:
-        part = int(pdf["part"].iloc[0])
-        kept = lambda v: [s for s in _shorter(v, radius) if parts == 1 or zlib.crc32(s.encode()) % parts == part]
+        ring, part = int(pdf["ring"].iloc[0]), int(pdf["part"].iloc[0])
         # only strings at home are indexed, which holds a cell's memory to its own share
         index: dict[str, list[str]] = {}
-        for v in pdf["value"][pdf["home"]]:
-            for s in kept(v):
-                index.setdefault(s, []).append(v)
+        far = {v: tuple(f) for v, f in zip(pdf["value"], pdf["far"])}
         out: dict[tuple[str, str], int] = {}
-        for v in pdf["value"]:
-            for other in {o for s in kept(v) for o in index.get(s, ())}:
-                pair = (min(v, other), max(v, other))
-                if other != v and pair not in out and within(v, other, radius):
-                    out[pair] = damerau(v, other)
+        for home in (True, False):
+            for v, own in far.items():
+                if (len(v) == ring) != home:
+                    continue
+                left = _shorter(v, radius)
+                if parts > 1:
+                    left = {s for s in left if zlib.crc32(s.encode()) % parts == part}
+                for other in {o for s in left if s in index for o in index[s]}:
+                    pair = (v, other) if v < other else (other, v)
+                    # an exchange counts one under damerau() and two in the distances to the pivots
+                    if pair not in out and all(abs(x - y) <= 2 * radius for x, y in zip(own, far[other])) and within(v, other, radius):
+                        out[pair] = damerau(v, other)
+                if home:
+                    for s in left:
+                        index.setdefault(s, []).append(v)
         return pd.DataFrame([(a, b, d) for (a, b), d in sorted(out.items())], columns=["a", "b", "dist"])
 
-    near = cells.groupBy("cell", "part").applyInPandas(join_cell, "a string, b string, dist int").distinct()
+    near = cells.groupBy("ring", "part").applyInPandas(join_cell, "a string, b string, dist int").distinct()
     return same.unionByName(near)

@@ -25,12 +25,11 @@ def variants(seed: int, n: int) -> list[str]:
     return out
 
 
-def test_radius_join_equals_scan(spark, monkeypatch):
-    monkeypatch.setattr("commonweave.llm.radius.PART_STRINGS", 60)
+def test_radius_join_equals_scan(spark):
     words = variants(4, 120)
     df = spark.createDataFrame([(w, 1) for w in [*words, words[0]]] + [(None, 1), ("", 2)], "value string, a int")
-    for radius in (1, 2):
-        got = {(r["a"], r["b"]) for r in radius_join(df, radius, pivots=5).filter("dist > 0").collect()}
+    for radius, part_strings in ((1, 10), (2, 10), (2, 50_000)):
+        got = {(r["a"], r["b"]) for r in radius_join(df, radius, 5, part_strings).filter("dist > 0").collect()}
         assert got == {(a, b) for a in set(words) for b in set(words) if a < b and damerau(a, b) <= radius}
     assert radius_join(df.limit(0)).count() == 0
 
