@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import jsonx
@@ -135,11 +135,33 @@ def forum_round_trip(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def news_round_trip(spark: SparkSession, folder: str) -> DataFrame:
-    """Talk of the news site written as search pages and read back."""
-    said = records(spark, folder, "communication", ["source_platform", "source_record_id", "author_handle_raw", "content_text", "engagement_likes", "posted_at"]).filter("source_platform = 'hackernews'")
-    hit = F.struct(F.col("id").alias("objectID"), F.col("author_handle_raw").alias("author"), F.col("engagement_likes").alias("points"), F.col("content_text").alias("comment_text"), F.unix_seconds("posted_at").alias("created_at_i"), F.array(F.lit("comment"), F.concat(F.lit("author_"), "author_handle_raw")).alias("_tags"))
+    """Talk of the news site written as search pages, stories and comments, and read back."""
+    said = records(spark, folder, "communication", ["source_platform", "source_record_id", "author_handle_raw", "content_text", "content_url", "engagement_likes", "posted_at"]).filter("source_platform = 'hackernews'")
+    story = F.coalesce(F.col("engagement_likes") % 2, F.lit(0)) == 1
+    hit = F.struct(
+        F.col("id").alias("objectID"), F.col("author_handle_raw").alias("author"), F.col("engagement_likes").alias("points"), F.when(~story, F.col("content_text")).alias("comment_text"), F.when(story, F.lit("Title")).alias("title"),
+        F.when(story, F.col("content_text")).alias("story_text"), F.when(story, F.col("content_url")).alias("url"), F.unix_seconds("posted_at").alias("created_at_i"), F.array(F.concat(F.lit("author_"), "author_handle_raw"), F.when(story, "story").otherwise("comment")).alias("_tags"),
+    )
     page = F.to_json(F.struct(F.array(hit).alias("hits"), F.lit(0).alias("page"), F.lit(1).alias("nbPages")))
-    return raw.news_communications(raw.news_hits(said.select(page.alias("payload")))).select("source_record_id", "item_type", F.coalesce("engagement_likes", F.lit(0)).alias("points"), F.size("topic_tags").alias("n_tags"))
+    back = raw.news_communications(raw.news_hits(said.select(page.alias("payload"))))
+    return back.select("source_record_id", "item_type", F.length("content_text").alias("size"), "content_url", F.coalesce("engagement_likes", F.lit(0)).alias("points"), F.size("topic_tags").alias("n_tags"))
+
+
+def thread_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    """Comments written as replies to replies, three deep, and flattened again: each with its own fields."""
+    rows = records(spark, folder, "raw_reddit_item", ["kind", "subreddit", "author", "parent_id", "link_id", "body", "created_utc", "score", "permalink"]).filter("kind = 't1'")
+    fields = [c for c in rows.columns if c not in ("thing_id", "kind", "author", "body")]
+
+    def comment(level: int, replies: Column | None) -> Column:
+        own = [F.concat(F.substring("thing_id", 4, 99), F.lit(f"-{level}")).alias("id"), F.lit("writer").alias("author"), F.lit("text").alias("body"), *[F.coalesce(c, F.lit("0")).alias(c) if c in ("parent_id", "link_id", "permalink", "subreddit") else F.coalesce(c, F.lit(0)).alias(c) for c in fields]]
+        return F.struct(F.lit("t1").alias("kind"), F.struct(*own, *([replies.alias("replies")] if replies is not None else [])).alias("data"))
+
+    nested = comment(2, None)
+    for level in (1, 0):
+        inner = F.struct(F.lit("Listing").alias("kind"), F.struct(F.array(nested).alias("children")).alias("data"))
+        nested = comment(level, inner)
+    page = F.to_json(F.struct(F.lit("Listing").alias("kind"), F.struct(F.array(nested).alias("children")).alias("data")))
+    return raw.forum_things(rows.select(page.alias("payload"))).select("id", "score", "subreddit")
 
 
 def account_identities(spark: SparkSession, folder: str) -> DataFrame:
@@ -249,7 +271,7 @@ _SCORE = " + ".join(["CAST(0.4 AS DOUBLE)", "CASE WHEN lower(subreddit) IN ('pro
     *[f"CASE WHEN {_HAS(w)} THEN CAST({v} AS DOUBLE) ELSE 0 END" for w, v in BOOSTS.items()], *[f"CASE WHEN {_HAS(w)} THEN CAST(-{v} AS DOUBLE) ELSE 0 END" for w, v in NEGATIVES.items()]])
 QUERIES = {f.__name__: f for f in (
     scalar_text, handle_candidates, text_measures, text_relevance, relevance_histogram, resolution_quality, identity_coverage, unknown_employers, merged_accounts, merged_persons, first_rows, latest_upsert,
-    interaction_edges, forum_round_trip, news_round_trip, account_identities, json_numbers, vector_text_round_trip, map_features, quarantined_events, signal_windows, event_windows, event_sessions,
+    interaction_edges, forum_round_trip, news_round_trip, thread_round_trip, account_identities, json_numbers, vector_text_round_trip, map_features, quarantined_events, signal_windows, event_windows, event_sessions,
     event_stream_windows, latest_event_state, person_resolution, reconciled_accounts, grouped_sets,
 )}
 _WINDOWS = "SELECT epoch_us(time_bucket(INTERVAL 1 DAY, ts)) AS day, event_type, count(*) AS n, round(sum(value), 2) AS total FROM events GROUP BY 1, 2"
@@ -329,7 +351,10 @@ UNION ALL SELECT m.author, m.h, 'mentions', count(DISTINCT m.item) FROM m WHERE
     "forum_round_trip": f"""WITH r AS (SELECT *, CASE WHEN trim(selftext) IN ('[deleted]', '[removed]', '') THEN NULL ELSE selftext END AS st, CASE WHEN trim(body) IN ('[deleted]', '[removed]', '') THEN NULL ELSE body END AS bd FROM {_R}
   WHERE coalesce(author, '') <> '' AND coalesce(subreddit, '') <> '' AND created_utc IS NOT NULL AND coalesce(permalink, '') <> '' AND (kind = 't3' AND coalesce(title, '') <> '' OR kind = 't1' AND body IS NOT NULL AND coalesce(parent_id, '') <> '' AND coalesce(link_id, '') <> ''))
 SELECT kind || '_' || substr(thing_id, 4) AS source_record_id, length(CASE WHEN kind = 't3' THEN nullif(concat_ws(chr(10) || chr(10), title, st), '') ELSE bd END) AS size, author IN ('[deleted]', '[removed]', '') AS no_author, coalesce(score, 0) AS engagement_likes, CAST(created_utc * 1000000 AS BIGINT) AS "at" FROM r""",
-    "news_round_trip": f"SELECT id AS source_record_id, 'comment' AS item_type, coalesce(engagement_likes, 0) AS points, 1 AS n_tags FROM {_C} WHERE source_platform = 'hackernews' AND trim(coalesce(author_handle_raw, '')) <> '' AND trim(coalesce(content_text, '')) NOT IN ('[deleted]', '[dead]')",
+    "news_round_trip": f"""SELECT id AS source_record_id, CASE WHEN story THEN 'story' ELSE 'comment' END AS item_type, length(t) AS size, CASE WHEN story THEN coalesce(content_url, 'https://news.ycombinator.com/item?id=' || id) ELSE 'https://news.ycombinator.com/item?id=' || id END AS content_url,
+  coalesce(engagement_likes, 0) AS points, 1 AS n_tags FROM (SELECT *, coalesce(engagement_likes % 2, 0) = 1 AS story, CASE WHEN coalesce(engagement_likes % 2, 0) = 1 THEN concat_ws(chr(10) || chr(10), 'Title', content_text) ELSE content_text END AS t FROM {_C})
+  WHERE source_platform = 'hackernews' AND trim(coalesce(author_handle_raw, '')) <> '' AND trim(coalesce(t, '')) NOT IN ('[deleted]', '[dead]')""",
+    "thread_round_trip": f"SELECT substr(thing_id, 4) || '-' || k.k AS id, coalesce(score, 0) AS score, coalesce(subreddit, '0') AS subreddit FROM {_R}, (VALUES ('0'), ('1'), ('2')) k(k) WHERE kind = 't1' AND coalesce(parent_id, '0') <> '' AND coalesce(link_id, '0') <> '' AND coalesce(permalink, '0') <> '' AND coalesce(subreddit, '0') <> ''",
     "json_numbers": "SELECT event_type, CAST(sum(CAST(json_extract(props, '$.k') AS DOUBLE)) AS BIGINT) AS total, count(DISTINCT props) AS payloads FROM events GROUP BY 1",
     "vector_text_round_trip": "SELECT vec_id, CAST(len(embedding) AS INTEGER) AS size, round(list_sum(CAST(embedding AS DOUBLE[])), 4) AS total FROM embeddings",
     "map_features": "SELECT city_id, latitude FROM city_coordinates WHERE latitude IS NOT NULL AND longitude IS NOT NULL",

@@ -44,7 +44,8 @@ def city_signal_joined(spark: SparkSession, folder: str) -> DataFrame:
 def events_with_organizers(spark: SparkSession, folder: str) -> DataFrame:
     """Orders as events with their organizers among the suppliers."""
     out = views.events_with_organizers(gatherings(spark, folder), attendance(spark, folder), hosts(spark, folder), table(spark, folder, "city_coordinates"))
-    return out.select("id", F.size("organizers").alias("n_organizers"), "organizer_names_csv")
+    told = F.transform("organizers", lambda o: F.concat_ws(":", o["person_id"], o["name"], o["role"]))
+    return out.select("id", F.size("organizers").alias("n_organizers"), F.array_join(told, "|").alias("organizers"), "organizer_names_csv")
 
 
 def event_places(spark: SparkSession, folder: str) -> DataFrame:
@@ -114,9 +115,9 @@ SELECT p.location_city, count(DISTINCT p.id) AS total_known_people, count(DISTIN
   coalesce((SELECT count(DISTINCT o_orderkey) FROM {SQL_HOSTS} q JOIN {SQL_ATTENDANCE} a ON a.person_id = q.id JOIN orders ON CAST(o_orderkey AS VARCHAR) = a.event_id AND o_orderdate > TIMESTAMP '1998-08-02' - INTERVAL 180 DAY WHERE q.location_city = p.location_city), 0) AS event_count_last_180d,
   coalesce((SELECT count(DISTINCT s.id) FROM {SQL_HOSTS} q JOIN said s ON s.author = q.id AND s.posted_at > TIMESTAMP '1998-08-02' - INTERVAL 90 DAY AND s.about WHERE q.location_city = p.location_city), 0) AS recent_mentions
 FROM {SQL_HOSTS} p GROUP BY p.location_city""",
-    "events_with_organizers": f"""WITH o AS (SELECT a.event_id, count(*) AS n, string_agg(p.canonical_name, ', ' ORDER BY CASE a.role WHEN 'organizer' THEN 0 ELSE 1 END, p.canonical_name) AS names
+    "events_with_organizers": f"""WITH o AS (SELECT a.event_id, count(*) AS n, string_agg(p.canonical_name, ', ' ORDER BY CASE a.role WHEN 'organizer' THEN 0 ELSE 1 END, p.canonical_name) AS names, string_agg(concat_ws(':', p.id, p.canonical_name, a.role), '|' ORDER BY CASE a.role WHEN 'organizer' THEN 0 ELSE 1 END, p.canonical_name) AS told
   FROM {SQL_ATTENDANCE} a JOIN {SQL_HOSTS} p ON p.id = a.person_id WHERE a.role IN ('organizer', 'co_organizer') GROUP BY 1)
-SELECT CAST(o_orderkey AS VARCHAR) AS id, CAST(coalesce(o.n, 0) AS INTEGER) AS n_organizers, coalesce(o.names, '') AS organizer_names_csv FROM orders LEFT JOIN o ON o.event_id = CAST(o_orderkey AS VARCHAR)""",
+SELECT CAST(o_orderkey AS VARCHAR) AS id, CAST(coalesce(o.n, 0) AS INTEGER) AS n_organizers, coalesce(o.told, '') AS organizers, coalesce(o.names, '') AS organizer_names_csv FROM orders LEFT JOIN o ON o.event_id = CAST(o_orderkey AS VARCHAR)""",
     "event_places": f"SELECT e.id, title, program_type, status, venue_city, venue_country, registered_count, attended_count, latitude, longitude FROM {latest_sql('community_event')} e "
     "LEFT JOIN city_coordinates cc ON lower(cc.city) = lower(e.venue_city) AND lower(cc.country) = lower(coalesce(e.venue_country, ''))",
     "person_activity": f"""WITH c AS (SELECT author_person_id AS id, count(*) AS n, max(posted_at) AS at FROM {latest_sql("communication")} WHERE author_person_id IS NOT NULL GROUP BY 1),

@@ -203,7 +203,7 @@ def two_passes(first: DataFrame, second: DataFrame, key: str) -> DataFrame:
 # -- event pages --------------------------------------------------------------------------------
 
 EVENT = (
-    "slug string, url string, title string, description string, starts_at string, ends_at string, venue_name string, venue_city string, venue_country string, mode string, "
+    "url string, title string, description string, starts_at string, ends_at string, venue_name string, venue_city string, venue_country string, mode string, "
     "organizers array<struct<name:string,url:string>>"
 )
 #: First path parts of pages that are no events, fixed values.
@@ -211,8 +211,47 @@ NAVIGATION = frozenset("discover login signup signin home create pricing about h
 
 
 def event_pages(pages: DataFrame) -> DataFrame:
-    """Events from pages (url, html): JSON-LD first, then embedded page data, then meta tags;
-    one row for each page that names an event, fields that are missing null."""
+    """Events from pages (url, html), one row for each page that names one: JSON-LD first, then embedded
+    page data, then meta tags and what the page shows. Times become timestamps in UTC, text that
+    names no time null, as are fields that are missing; the slug is the last part of the address."""
+    from ..functions.dates import tolerant_timestamp
+    from ..functions.html import html_text, meta_content, visible_count
+
+    read = pages.select("url", "html").filter("html is not null").join(_embedded(pages).withColumnRenamed("url", "_url"), F.col("url").eqNullSafe(F.col("_url")), "left").drop("_url")
+    meta = lambda name: F.nullif(F.trim(html_text(meta_content(F.col("html"), name))), F.lit(""))
+    title = F.coalesce("title", F.when(meta("og:type").contains("event") | meta("og:title").isNotNull(), meta("og:title")))
+    slug = F.regexp_replace(F.substring_index(F.regexp_replace(F.split("url", r"\?")[0], "/+$", ""), "/", -1), "\\s", "")
+    return read.select(
+        slug.alias("slug"), "url", title.alias("title"), F.coalesce("description", meta("og:description"), meta("description")).alias("description"),
+        tolerant_timestamp(F.coalesce("starts_at", meta("event:start_time"))).alias("starts_at"), tolerant_timestamp(F.coalesce("ends_at", meta("event:end_time"))).alias("ends_at"),
+        "venue_name", "venue_city", "venue_country", "mode", visible_count(F.col("html"), "(?:attending|going|registered)").alias("registered_count"), meta("og:image").alias("cover_image_url"),
+        F.coalesce("organizers", F.array().cast("array<struct<name:string,url:string>>")).alias("organizers"),
+    ).filter("title is not null")
+
+
+def events_to_store(events: DataFrame) -> DataFrame:
+    """Events that can be stored, which need a title and a start; of one slug the row with most fields."""
+    filled = sum((F.col(c).isNotNull().cast("int") for c in ("description", "ends_at", "venue_name", "venue_city", "venue_country")), F.lit(0))
+    whole = events.filter("title is not null and starts_at is not null")
+    return whole.groupBy("slug").agg(F.max_by(F.struct(*[c for c in whole.columns if c != "slug"]), F.struct(filled, "url")).alias("e")).select("slug", "e.*")
+
+
+def profile_handle(url: Column) -> Column:
+    """The handle in the address of a profile: behind /u/ or /user/, else the first part of the path."""
+    path = F.filter(F.split(F.regexp_replace(F.try_parse_url(url, F.lit("PATH")), "^/+", ""), "/"), lambda p: p != "")
+    first = F.lower(F.get(path, F.lit(0)))
+    return F.nullif(F.lower(F.regexp_replace(F.when(first.isin("u", "user"), F.get(path, F.lit(1))).otherwise(first), "^@", "")), F.lit(""))
+
+
+def organizer_persons(events: DataFrame) -> DataFrame:
+    """(handle, canonical_name, profile_url, slugs): one person for each organizer, by the handle of the profile or else the name."""
+    each = events.select("slug", F.explode("organizers").alias("o")).select("slug", F.trim("o.name").alias("name"), F.col("o.url").alias("url")).filter("name <> ''")
+    keyed = each.withColumn("handle", F.coalesce(profile_handle(F.col("url")), F.lower(F.regexp_replace("name", r"\s+", "-"))))
+    return keyed.groupBy("handle").agg(F.min("name").alias("canonical_name"), F.min("url").alias("profile_url"), F.array_sort(F.collect_set("slug")).alias("slugs"))
+
+
+def _embedded(pages: DataFrame) -> DataFrame:
+    """What the JSON of each page says of its event; pages without such JSON give no row."""
     from ..functions.html import is_event, json_blocks, visit
 
     def text(x: object) -> str | None:
@@ -227,14 +266,11 @@ def event_pages(pages: DataFrame) -> DataFrame:
         for pdf in batches:
             rows = []
             for url, html in zip(pdf["url"], pdf["html"]):
-                if not html:
-                    continue
                 blocks = list(json_blocks(html))
                 named = [n for b in blocks for n in visit(b) if is_event(n)]
                 data = [n for b in blocks for n in visit(b) if "start_at" in n or "startAt" in n]
                 nodes = [*named, *data]
-                title = pick(nodes, "name", "title") if nodes else None
-                if not title:
+                if not nodes:
                     continue
                 places = [p for n in nodes for p in [n.get("location")] if isinstance(p, dict)]
                 addresses = [a for p in places for a in [p.get("address")] if isinstance(a, dict)]
@@ -243,14 +279,13 @@ def event_pages(pages: DataFrame) -> DataFrame:
                 for h in hosts:
                     if name := text(h.get("name")):
                         seen.setdefault(str(h.get("url") or name).lower(), {"name": name, "url": h.get("url")})
-                slug = (url or "").rstrip("/").rsplit("/", 1)[-1].split("?")[0]
                 rows.append((
-                    slug, url, title, pick(nodes, "description"), pick(nodes, "startDate", "start_at", "startAt"), pick(nodes, "endDate", "end_at", "endAt"), pick(places, "name"),
+                    url, pick(nodes, "name", "title"), pick(nodes, "description"), pick(nodes, "startDate", "start_at", "startAt"), pick(nodes, "endDate", "end_at", "endAt"), pick(places, "name"),
                     pick(addresses, "addressLocality", "city") or pick(data, "city"), pick(addresses, "addressCountry", "country") or pick(data, "country"), pick(nodes, "eventAttendanceMode"), list(seen.values()),
                 ))
             yield pd.DataFrame(rows, columns=[c.split(" ")[0] for c in EVENT.split(", ")])
 
-    return pages.select("url", "html").mapInPandas(parse, EVENT)
+    return pages.select("url", "html").filter("html is not null").mapInPandas(parse, EVENT)
 
 
 def event_links(pages: DataFrame, host: str) -> DataFrame:

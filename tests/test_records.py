@@ -148,3 +148,36 @@ def test_every_attempt_is_logged(spark, tmp_path):
     assert sorted(r["outcome"] for r in spark.read.json(str(tmp_path / "log")).collect()) == sorted(outcomes)
     failing = adhoc.Asker(spark, {"three": lambda: spark.table("three")}, sink=lambda _: 1 / 0)
     assert len(failing.preset("three").rows) == 3 and failing.log[0]["unsaved"]
+
+
+def test_event_pages_fall_back_to_what_the_page_says(spark):
+    meta = '<meta property="og:title" content="Night &amp; Day"><meta content="2025-03-01T18:30:00+02:00" name="event:start_time"><meta name="description" content="d"> 1,234 people going'
+    data = '<script type="application/json">{"a":[{"title":"P","start_at":"soon","city":"Y","hosts":[{"name":"Ann Lee","url":"https://x.example/u/AnnL"}]}]}</script>'
+    later = data.replace("soon", "2025-04-02")
+    pages = spark.createDataFrame([("https://x.example/night?u=1", meta), ("https://x.example/p/", data), ("https://y.example/p", later), ("https://x.example/none", "<p>nothing</p>")], "url string, html string")
+    got = {r["url"]: r for r in raw.event_pages(pages).collect()}
+    night = got["https://x.example/night?u=1"]
+    assert (night["slug"], night["title"], night["description"], night["registered_count"], str(night["starts_at"])) == ("night", "Night & Day", "d", 1234, "2025-03-01 16:30:00")
+    assert got["https://x.example/p/"]["starts_at"] is None and got["https://x.example/p/"]["venue_city"] == "Y" and len(got) == 3
+    stored = raw.events_to_store(raw.event_pages(pages)).collect()
+    assert sorted((r["slug"], r["title"]) for r in stored) == [("night", "Night & Day"), ("p", "P")]
+    people = raw.organizer_persons(raw.event_pages(pages)).collect()
+    assert [(r["handle"], r["canonical_name"], r["slugs"]) for r in people] == [("annl", "Ann Lee", ["p"])]
+
+
+def test_a_whole_run(spark, tmp_path):
+    """Pages of two sources are stored once, normalized, resolved and counted; a second run changes nothing."""
+    from commonweave.plans import pipeline
+
+    news = json.dumps({"hits": [{"objectID": "1", "author": "ann", "title": "t", "_tags": ["story"], "created_at_i": 10}, {"objectID": "2", "author": "bo", "comment_text": "hi @ann", "created_at_i": 20, "_tags": ["comment"]}, {"objectID": "3", "author": None, "created_at_i": 30}]})
+    post = {"kind": "t3", "data": {"id": "p", "subreddit": "s", "title": "T", "author": "cy", "created_utc": 5, "permalink": "/p"}}
+    forum = json.dumps({"kind": "Listing", "data": {"children": [post]}})
+    pages = {"hackernews": spark.createDataFrame([(news,), ("{broken",)], "payload string"), "reddit": spark.createDataFrame([(forum,)], "payload string")}
+    for _ in range(2):
+        out = pipeline.backfill(spark, pages, str(tmp_path / "store"))
+        assert out == {"hackernews": {"pages": 2, "failed": 1, "talk": 2, "authors": 2}, "reddit": {"pages": 1, "failed": 0, "talk": 1, "authors": 1}}
+        talk = pipeline.stored(spark, str(tmp_path / "store"), "communication")
+        assert sorted(r["source_record_id"] for r in talk.collect()) == ["1", "2", "t3_p"]
+        people = pipeline.stored(spark, str(tmp_path / "store"), "person")
+        assert sorted(r["canonical_name"] for r in people.collect()) == ["ann", "bo", "cy"]
+    assert {r["status"] for r in pipeline.stored(spark, str(tmp_path / "store"), "raw_hackernews").collect()} == {"success", "failed"}
