@@ -26,8 +26,9 @@ from .radius import radius_join
 
 #: Labelled pairs used for fitting, chosen by hash; the classifier has few weights.
 LABELLED = 60_000
-#: Companies and nicknames sent to the workers; longer lists are refused.
-COMPANIES, ALIASES = 100_000, 1_000_000
+#: Nicknames sent to the workers; a longer list is refused. Each name bears at most 50 times as many as a
+#: record has further spellings, and of given names there are at most GIVEN_LIMIT.
+ALIASES = 1_000_000
 #: Probability from which a pair is linked.
 LINKED = 0.5
 
@@ -89,11 +90,56 @@ def learn_aliases(spark: SparkSession, folder: str, given: list[str]) -> list[tu
     return rows
 
 
-def _companies(spark: SparkSession, folder: str) -> list[tuple]:
-    rows = table(spark, folder, "company").select("id", "canonical_name", "domain").limit(COMPANIES + 1).collect()
-    if len(rows) > COMPANIES:
-        raise ValueError("more companies than the workers are meant to hold")
-    return [tuple(r) for r in rows]
+#: What marks a mail domain among typed employers; no text begins so.
+DOMAIN = "\u0001"
+
+
+def company_heads(companies: DataFrame, employers: DataFrame) -> DataFrame:
+    """(typed, head): the first word of the company that each distinct employers(typed) means.
+
+    companies has (id, name, domain). Typed is an id of a company, a mail domain (DOMAIN and the domain), or a
+    name: one whose first word begins a company's name, or is one letter less than such a word or
+    it than this, or whose words pressed together begin with one, the longest; any other
+    name stands for itself by its first word. An unknown id or domain gives no row. All by joins on what is
+    compared, so that neither side has to fit anywhere.
+    """
+
+    def of_companies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = []
+            for cid, name, domain in zip(pdf["id"], pdf["name"], pdf["domain"]):
+                if words := re.findall(r"[a-z0-9]+", fold(name or "")):
+                    rows += [(f"i:{cid}", words[0]), (f"h:{words[0]}", words[0])]
+                    rows += [(f"n:{v}", words[0]) for v in _with_one_less(words[0])]
+                    if domain and domain.strip():
+                        rows.append((f"d:{domain.lower().strip()}", words[0]))
+            yield pd.DataFrame(rows, columns=["key", "head"])
+
+    def of_employers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = []
+            for typed in pdf["typed"]:
+                if typed.startswith(DOMAIN):
+                    rows.append((typed, 0, f"d:{typed[1:]}", None))
+                    continue
+                rows.append((typed, 0, f"i:{typed}", None))
+                words = re.findall(r"[a-z0-9]+", fold(typed))
+                if not words or "-" in typed and len(typed) == 36:
+                    continue
+                pressed = "".join(words)
+                keys = [f"h:{words[0]}", *(f"n:{v}" for v in _with_one_less(words[0])), *(f"h:{pressed[:k]}" for k in range(len(pressed), 3, -1))]
+                rows += [(typed, 1 + k, key, words[0]) for k, key in enumerate(keys)]
+            yield pd.DataFrame(rows, columns=["typed", "place", "key", "own"])
+
+    known = companies.mapInPandas(of_companies, "key string, head string").groupBy("key").agg(F.min("head").alias("head"))
+    asked = employers.filter("trim(typed) <> ''").select("typed").distinct().mapInPandas(of_employers, "typed string, place int, key string, own string")
+    found = asked.join(known, "key", "left").groupBy("typed").agg(F.min_by("head", F.when(F.col("head").isNotNull(), F.col("place"))).alias("head"), F.max("own").alias("own"))
+    return found.select("typed", F.coalesce("head", "own").alias("head")).filter("head is not null")
+
+
+def _with_one_less(word: str) -> list[str]:
+    """A word and what is left of it without one letter; none of a word under four letters."""
+    return list(dict.fromkeys([word, *(word[:i] + word[i + 1 :] for i in range(len(word)))])) if len(word) >= 4 else []
 
 
 def build_records(spark: SparkSession, folder: str) -> tuple[DataFrame, list[str], list[tuple[str, str]]]:
@@ -105,7 +151,6 @@ def build_records(spark: SparkSession, folder: str) -> tuple[DataFrame, list[str
     """
     given = learned_given_names(spark, folder)
     alias = learn_aliases(spark, folder, given)
-    companies = _companies(spark, folder)
     entries = place_entries(spark, folder)
     typed = place_values(spark, folder).filter("source_table <> 'community_event'")
     lands = entries.select("entry_id", F.lower("country").alias("entry_land")).distinct()
@@ -134,43 +179,17 @@ def build_records(spark: SparkSession, folder: str) -> tuple[DataFrame, list[str
         F.array_compact(F.array(F.concat(F.lit("github "), "login"), F.concat(F.lit("twitter "), "twitter_username"))).alias("handles"),
         none.alias("country"), F.col("company").alias("employer"), "bio", "blog",
     )
-    raw = people.unionByName(profiles).join(places, "key", "left").repartition(shuffle_partitions(spark), "key")
-    sent = spark.sparkContext.broadcast((given, alias, companies))
+    both = cut(people.unionByName(profiles))
+    domain = F.regexp_extract(F.lower(F.trim("email")), "@([^@]+)$", 1)
+    domains = both.select("key", F.explode("emails").alias("email")).select("key", F.concat(F.lit(DOMAIN), domain).alias("typed"))
+    typed = domains.unionByName(both.select("key", F.col("employer").alias("typed"))).filter(F.col("typed").isNotNull() & (F.col("typed") != DOMAIN)).distinct()
+    company = table(spark, folder, "company").filter("id is not null").select("id", F.col("canonical_name").alias("name"), "domain")
+    heads = typed.join(company_heads(company, typed.select("typed")), "typed").groupBy("key").agg(F.collect_set("head").alias("heads"))
+    raw = both.join(places, "key", "left").join(heads, "key", "left").repartition(shuffle_partitions(spark), "key")
+    sent = spark.sparkContext.broadcast((given, alias))
 
     def shape(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        given, alias, companies = sent.value
-        lexicon = Lexicon(given, alias)
-        head_of, head_of_domain, heads = {}, {}, set()
-        for cid, name, domain in companies:
-            words = re.findall(r"[a-z0-9]+", fold(name or ""))
-            if words:
-                head_of[cid] = words[0]
-                heads.add(words[0])
-                if domain:
-                    head_of_domain[domain.lower().strip()] = words[0]
-        near: dict[str, str] = {}
-        for h in sorted(heads):
-            for v in {h, *(h[:i] + h[i + 1 :] for i in range(len(h)))} if len(h) >= 4 else {h}:
-                near.setdefault(v, h)
-
-        def head(typed: str | None) -> str | None:
-            """The first word of the company meant."""
-            if not typed or not typed.strip():
-                return None
-            if typed in head_of:
-                return head_of[typed]
-            words = re.findall(r"[a-z0-9]+", fold(typed))
-            if not words or "-" in typed and len(typed) == 36:
-                return None
-            if words[0] in heads:
-                return words[0]
-            for v in (words[0], *(words[0][:i] + words[0][i + 1 :] for i in range(len(words[0])))) if len(words[0]) >= 4 else ():
-                if v in near:
-                    return near[v]
-            pressed = "".join(words)
-            longest = max((h for h in (pressed[:k] for k in range(4, len(pressed) + 1)) if h in heads), key=len, default=None)
-            return longest or words[0]
-
+        lexicon = Lexicon(*sent.value)
         for pdf in batches:
             rows = []
             for r in pdf.itertuples(index=False):
@@ -183,21 +202,17 @@ def build_records(spark: SparkSession, folder: str) -> tuple[DataFrame, list[str
                         org, org_kind = True, kind
                     givens.update(g)
                     cores.update(core_key(x) for x in f if len(x) >= 3)
-                emails, heads_own, mail_bases = set(), set(), set()
+                emails, mail_bases = set(), set()
                 for e in r.emails:
                     e = fold(e.strip())
                     local, at, domain = e.partition("@")
                     local = local.split("+")[0]
                     if not at or not local or "." not in domain:
                         continue
-                    if domain in head_of_domain:
-                        heads_own.add(head_of_domain[domain])
                     if local in ROLES:
                         continue
                     emails.add(f"{local}@{domain}")
                     mail_bases.add(squash(local))
-                if h := head(r.employer):
-                    heads_own.add(h)
                 accounts, bases = set(), set()
                 for h in r.handles:
                     platform, _, typed = h.partition(" ")
@@ -211,7 +226,7 @@ def build_records(spark: SparkSession, folder: str) -> tuple[DataFrame, list[str
                 bases = {handle_base(b) for b in bases} | bases
                 land = _land(r.country, r.entry_land)
                 city = int(r.entry_id) if r.entry_id == r.entry_id and r.entry_id is not None else -1
-                rows.append((r.key, r.kind, r.name, org, org_kind, sorted(givens), sorted(cores), sorted(emails), sorted(accounts), sorted(b for b in bases if len(b) >= 4), city, land, sorted(heads_own), _site(r.blog)))
+                rows.append((r.key, r.kind, r.name, org, org_kind, sorted(givens), sorted(cores), sorted(emails), sorted(accounts), sorted(b for b in bases if len(b) >= 4), city, land, sorted(r.heads) if r.heads is not None else [], _site(r.blog)))
             yield pd.DataFrame(rows, columns=[c.split(" ")[0] for c in RECORD.split(", ")])
 
     return cut(raw.mapInPandas(shape, RECORD)), given, alias

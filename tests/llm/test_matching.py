@@ -8,7 +8,7 @@ from types import SimpleNamespace
 import numpy as np
 
 from commonweave.llm.editmetric import damerau, within
-from commonweave.llm.pairing import FEATURES, ORG_FEATURES, ORG_PRIOR, ORGS, PRIOR, candidate_pairs, compare_records, entities, family_links, fit_model, reliability, score_pairs
+from commonweave.llm.pairing import DOMAIN, FEATURES, ORG_FEATURES, ORG_PRIOR, ORGS, PRIOR, candidate_pairs, company_heads, compare_records, entities, family_links, fit_model, reliability, score_pairs
 from commonweave.llm.people import Lexicon, given_fit, handle_base, handle_of, parse_name
 from commonweave.llm.radius import minhash_links, radius_join
 
@@ -157,3 +157,13 @@ def test_frequent_family_names_lose_no_candidate(spark):
     inside = [p for p in stars if keyed[p[0]] == keyed[p[1]]]
     assert len(inside) == 60 - len(classes) and len(stars) - len(inside) == len(classes) * (len(classes) - 1) // 2
     assert candidate_pairs(df, family_links(df), True, ["anna"], []).filter("a like 'github:o%'").count() == 0
+
+
+def test_company_heads(spark):
+    companies = spark.createDataFrame([("c1", "Suseza Capital LLC", "suseza.example"), ("c2", "Trubul Analytics", None), ("c3", "Ör Data", " OR.example"), ("c4", None, "x.example"), ("c5", "Trub", None)], "id string, name string, domain string")
+    want = {"c1": "suseza", "c9-unknown name": "c9", DOMAIN + "suseza.example": "suseza", DOMAIN + "or.example": "or", DOMAIN + "none.example": None, "@trubulanalytics": "trubul", "SUSEZA inc": "suseza", "Susez": "suseza", "Suuseza Cap": "suseza", "trubulanalytics": "trubul", "Trubul": "trubul", "Other Firm": "other",
+            "00000000-0000-0000-0000-000000000000": None, " ": None, "?!": None}
+    typed = spark.createDataFrame([(t,) for t in [*want, *want]] + [(None,)], "typed string")
+    got = {r["typed"]: r["head"] for r in company_heads(companies, typed).collect()}
+    assert got == {t: h for t, h in want.items() if h}
+    assert company_heads(companies.limit(0), typed.limit(0)).count() == 0
