@@ -86,10 +86,13 @@ def minhash_links(values: DataFrame, radius: int = 2) -> DataFrame:
             yield out
 
     signed = values.repartition(shuffle_partitions(values.sparkSession), "attr", "value").mapInPandas(sign, "attr string, value string, bucket long, letters long")
-    left = signed.select("attr", "bucket", F.col("value").alias("a"), F.col("letters").alias("la"))
-    right = signed.select("attr", "bucket", F.col("value").alias("b"), F.col("letters").alias("lb"))
+    # one long as key is sorted by radix; should two of different attributes meet by chance, no record has that tie.
+    # Signing multiplies the rows, which Spark's estimate of their size does not know, so no side may be broadcast
+    key = F.xxhash64("attr", "bucket").alias("key")
+    left = signed.select(key, "attr", F.col("value").alias("a"), F.col("letters").alias("la"))
+    right = signed.select(key, F.col("value").alias("b"), F.col("letters").alias("lb")).hint("merge")
     # an edit takes at most one letter away and brings one; an exchange is one edit under damerau() and two under levenshtein()
-    met = left.join(right, ["attr", "bucket"]).filter((F.col("a") < F.col("b")) & (F.abs(F.length("a") - F.length("b")) <= radius))
+    met = left.join(right, "key").filter((F.col("a") < F.col("b")) & (F.abs(F.length("a") - F.length("b")) <= radius))
     lacks = lambda x, y: F.bit_count(F.col(x).bitwiseAND(F.bitwise_not(F.col(y)))) <= radius
     met = met.filter(lacks("la", "lb") & lacks("lb", "la")).filter(F.levenshtein("a", "b", 2 * radius) >= 0).select("attr", "a", "b").distinct()
     # a pair closer under damerau() has exchanges, which keep the letters: the sorted letters differ by the other edits
