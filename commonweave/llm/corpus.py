@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..tables import table
 from .packing import pack
-from .tokenize import encode_corpus, token_counts
+from .tokenize import decode_corpus, encode_corpus, token_counts
 
 #: Tokens that a container holds.
 CAPACITY = 2048
@@ -25,5 +25,23 @@ def p8_containers(spark: SparkSession, folder: str) -> DataFrame:
     return placed.select("doc_id", "part", F.col("start").alias("start_token"), F.col("size").alias("n_tokens"), "container_id")
 
 
-QUERIES = {"p7_ids": p7_ids, "p8_containers": p8_containers}
-SQL: dict[str, str] = {}
+def p7_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    """The texts of all documents encoded and decoded again, as lengths and hashes."""
+    back = decode_corpus(p7_ids(spark, folder), "doc_id", "ids")
+    return back.select("doc_id", F.length("text").alias("n_chars"), F.md5("text").alias("hash"))
+
+
+def p8_totals(spark: SparkSession, folder: str) -> DataFrame:
+    """(placed, overfull, wrongly_split): documents in containers, containers above the capacity, and documents
+    in several parts that one container could hold."""
+    placed = p8_containers(spark, folder)
+    full = placed.groupBy("container_id").agg(F.sum("n_tokens").alias("n")).agg(F.count(F.when(F.col("n") > CAPACITY, 1)).alias("overfull"))
+    docs = placed.groupBy("doc_id").agg(F.count("*").alias("parts"), F.sum("n_tokens").alias("n"))
+    return docs.agg(F.count("*").alias("placed"), F.count(F.when((F.col("parts") > 1) & (F.col("n") <= CAPACITY), 1)).alias("wrongly_split")).crossJoin(F.broadcast(full))  # one row each
+
+
+QUERIES = {"p7_ids": p7_ids, "p7_round_trip": p7_round_trip, "p8_containers": p8_containers, "p8_totals": p8_totals}
+SQL = {
+    "p7_round_trip": "SELECT doc_id, length(coalesce(text, '')) AS n_chars, md5(coalesce(text, '')) AS hash FROM documents",
+    "p8_totals": "SELECT count(DISTINCT doc_id) FILTER (WHERE length(text) > 0) AS placed, 0 AS wrongly_split, 0 AS overfull FROM documents",
+}

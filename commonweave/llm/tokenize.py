@@ -65,3 +65,18 @@ def token_counts(df: DataFrame, id_col: str, text_col: str, vocabulary: str | No
 
     two = spread(df.select(F.col(id_col).alias("key"), F.col(text_col).cast("string").alias("text")))
     return two.mapInArrow(count, f"key {id_type}, n_tokens long").withColumnRenamed("key", id_col)
+
+
+def decode_corpus(encoded: DataFrame, id_col: str, ids_col: str, vocabulary: str | None = None) -> DataFrame:
+    """(id_col, text): the texts of token ids, the way back of encode_corpus; no ids give an empty text."""
+    path = vocabulary or default_vocabulary()
+    id_type = encoded.schema[id_col].dataType.simpleString()
+
+    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens = {rank: token.encode("latin-1") for token, rank in loaded(path).ranks.items()}
+        for batch in batches:
+            texts = [b"".join(tokens[i] for i in ids.as_py() or ()).decode("utf-8") for ids in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["key", "text"])
+
+    two = encoded.select(F.col(id_col).alias("key"), F.col(ids_col).alias("ids"))
+    return two.mapInArrow(decode, f"key {id_type}, text string").withColumnRenamed("key", id_col)
