@@ -1,11 +1,12 @@
 """Parent-child rows to full hierarchies: root, depth, path, descendants, cycles.
 
-Level-wise frontier joins run from the roots downwards. So that a chain of
-depth d costs log2(d) joins instead of d, the width of a level doubles: every
-node not yet reached carries a jump to an ancestor, and joining jumps with
-jumps doubles their length, so round k reaches the nodes of depth 2^(k-1)+1 to
-2^k at once. A round that reaches nobody proves that the nodes left lie in a
-cycle or below one: a node at the next depth would have been reached.
+The frontier of nodes that still wait for their root is joined level by level,
+with levels that double: every node carries a jump to an ancestor, and joining
+jumps with jumps doubles their length, so that round k reaches the nodes of
+depth 2^(k-1)+1 to 2^k at once and a chain of depth d costs log2(d) joins. (This is
+pointer doubling from every node upwards, where a frontier walked down from the
+roots would take d joins.) A round that reaches nobody proves that the nodes left
+lie in a cycle or below one: a node at the next depth would have been reached.
 """
 
 from __future__ import annotations
