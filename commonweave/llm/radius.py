@@ -81,22 +81,21 @@ def minhash_links(values: DataFrame, radius: int = 2) -> DataFrame:
             ]
             times = [len(f) for f in found]
             out = pdf.loc[pdf.index.repeat(times)].reset_index(drop=True)
-            out["bucket"] = np.array([x for f in found for x in f], dtype=np.int64)
+            # the attribute goes into bits that no band has
+            code = np.array([(zlib.crc32(name.encode()) & 0x7FFF) << 40 for name in pdf["attr"]], dtype=np.int64)
+            out["bucket"] = np.array([x for f in found for x in f], dtype=np.int64) ^ np.repeat(code, times)
             out["letters"] = np.repeat(np.array([letter_set(v) for v in pdf["value"]], dtype=np.int64), times)
             yield out
 
     signed = values.repartition(shuffle_partitions(values.sparkSession), "attr", "value").mapInPandas(sign, "attr string, value string, bucket long, letters long")
-    # One long as key is sorted by radix. Both sides ship the same columns, so that one exchange serves them.
+    # One long as key is sorted by radix; should two of different attributes meet by chance, no record has that tie.
     # Signing multiplies the rows, which Spark's estimate of their size does not know, so no side may be broadcast.
-    keyed = signed.select(F.xxhash64("attr", "bucket").alias("key"), "attr", "value", "letters")
-    left = keyed.select("key", "attr", F.col("value").alias("a"), F.col("letters").alias("la"))
-    right = keyed.select("key", F.col("attr").alias("other"), F.col("value").alias("b"), F.col("letters").alias("lb")).hint("merge")
+    left = signed.select("bucket", "attr", F.col("value").alias("a"), F.col("letters").alias("la"))
+    right = signed.select("bucket", F.col("value").alias("b"), F.col("letters").alias("lb")).hint("merge")
     # an edit takes at most one letter away and brings one; an exchange is one edit under damerau() and two under levenshtein()
-    met = left.join(right, "key").filter((F.col("a") < F.col("b")) & (F.abs(F.length("a") - F.length("b")) <= radius))
+    met = left.join(right, "bucket").filter((F.col("a") < F.col("b")) & (F.abs(F.length("a") - F.length("b")) <= radius))
     lacks = lambda x, y: F.bit_count(F.col(x).bitwiseAND(F.bitwise_not(F.col(y)))) <= radius
-    # the attributes are compared so that they are no second key of the join
-    one = F.xxhash64("attr") - F.xxhash64("other") == 0
-    met = met.filter(lacks("la", "lb") & lacks("lb", "la") & one).filter(F.levenshtein("a", "b", 2 * radius) >= 0).select("attr", "a", "b").distinct()
+    met = met.filter(lacks("la", "lb") & lacks("lb", "la")).filter(F.levenshtein("a", "b", 2 * radius) >= 0).select("attr", "a", "b").distinct()
     # a pair closer under damerau() has exchanges, which keep the letters: the sorted letters differ by the other edits
     letters = lambda c: F.array_join(F.sort_array(F.split(c, "")), "")
     near = met.filter((F.levenshtein("a", "b", radius) >= 0) | (F.levenshtein(letters("a"), letters("b"), 2 * (radius - 1)) >= 0))
