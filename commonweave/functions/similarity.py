@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -45,16 +46,94 @@ def jaro_winkler_of(a: str, b: str, weight: float = 0.1, prefix: int = 4) -> flo
     return s + n * weight * (1 - s)
 
 
+#: Longest word whose letters have a bit each in a long with one to spare, and pairs compared at a time.
+BITS, BATCH = 62, 2_048
+
+
+def letter_codes(words: list[str]) -> np.ndarray:
+    """A row of code points for each word, 0 behind its end."""
+    width = max(map(len, words), default=0) or 1
+    return np.array(words, dtype=f"U{width}").view(np.uint32).reshape(len(words), width)
+
+
+def jaro_winkler_pairs(a: list[str], b: list[str], weight: float = 0.1, prefix: int = 4) -> np.ndarray:
+    """jaro_winkler_of() of many pairs at once, to the last bit: the positions of a letter are bits of a long, and
+    each step is taken for all pairs together. Words of more than BITS letters are compared one pair at a time."""
+    size = np.array([(len(x), len(y)) for x, y in zip(a, b)], dtype=np.int64).reshape(-1, 2)
+    out = np.zeros(len(a))
+    for i in np.flatnonzero(size.max(axis=1, initial=0) > BITS):
+        out[i] = jaro_winkler_of(a[i], b[i], weight, prefix)
+    short = np.flatnonzero((size.max(axis=1, initial=0) <= BITS) & (size.min(axis=1, initial=BITS) > 0))
+    short = short[np.argsort(size[short, 0], kind="stable")]
+    for k in range(0, len(short), BATCH):
+        at = short[k : k + BATCH]
+        out[at] = _short_pairs([a[i] for i in at], [b[i] for i in at], size[at, 0], size[at, 1], weight, prefix)
+    return out
+
+
+def _short_pairs(a: list[str], b: list[str], la: np.ndarray, lb: np.ndarray, weight: float, prefix: int) -> np.ndarray:
+    n, one = len(a), np.uint64(1)
+    rows = np.arange(n)
+    ca, cb = letter_codes(a), letter_codes(b)
+    seen = np.zeros(int(max(ca.max(), cb.max())) + 1, dtype=bool)
+    seen[ca], seen[cb] = True, True
+    number = np.cumsum(seen) - 1
+    ia, ib = number[ca], number[cb]
+    where = np.zeros((n, int(number[-1]) + 1), dtype=np.uint64)  # the positions of each letter in b
+    for j in range(cb.shape[1]):
+        r = rows[lb > j]
+        where[r, ib[r, j]] |= one << np.uint64(j)
+    reach = np.maximum(la, lb) // 2 - 1
+    free = (one << lb.astype(np.uint64)) - one
+    taken_a, taken_b = np.zeros(n, dtype=np.uint64), np.zeros(n, dtype=np.uint64)
+    for i in range(ca.shape[1]):
+        low, high = np.maximum(i - reach, 0).astype(np.uint64), np.clip(i + reach + 1, 0, lb).astype(np.uint64)
+        window = ((one << high) - one) & ~((one << low) - one)
+        met = np.where(la > i, where[rows, ia[:, i]] & window & free, np.uint64(0))
+        first = met & (~met + one)
+        free &= ~first
+        taken_b |= first
+        taken_a |= (first != 0).astype(np.uint64) << np.uint64(i)
+    m = np.bitwise_count(taken_a).astype(np.int64)
+    moved = np.zeros(n, dtype=np.int64)
+    for _ in range(int(m.max(initial=0))):
+        one_a, one_b = taken_a & (~taken_a + one), taken_b & (~taken_b + one)
+        place = np.where(one_a == 0, 0, np.bitwise_count(one_a - one))
+        moved += (one_a != 0) & ((where[rows, ia[rows, place]] & one_b) == 0)
+        taken_a ^= one_a
+        taken_b ^= one_b
+    full = np.maximum(m, 1)
+    s = np.where(m == 0, 0.0, (m / la + m / lb + (m - moved / 2) / full) / 3)
+    width, common, alike = min(prefix, ca.shape[1], cb.shape[1]), np.zeros(n, dtype=np.int64), np.ones(n, dtype=bool)
+    for i in range(width):
+        alike &= (ca[:, i] == cb[:, i]) & (la > i) & (lb > i)
+        common += alike
+    s = np.where((s == 0.0) | (s == 1.0), s, s + common * weight * (1 - s))
+    same = (la == lb) & (common == np.minimum(width, la))
+    for i in np.flatnonzero(same):
+        if a[i] == b[i]:
+            s[i] = 1.0
+    return s
+
+
 @F.pandas_udf(T.DoubleType())
 def jaro_winkler(a: pd.Series, b: pd.Series) -> pd.Series:
     """Jaro-Winkler similarity of two columns; null where either is null."""
-    return pd.Series([None if x is None or y is None else jaro_winkler_of(x, y) for x, y in zip(a, b)], dtype="float64")
+    known = (a.notna() & b.notna()).to_numpy()
+    out = np.full(len(a), np.nan)
+    out[known] = jaro_winkler_pairs(list(a[known]), list(b[known]))
+    return pd.Series(out, dtype="float64").astype(object).where(known, None) if not known.all() else pd.Series(out, dtype="float64")
 
 
 @F.pandas_udf(T.DoubleType())
 def best_jaro_winkler(a: pd.Series, b: pd.Series) -> pd.Series:
     """The best Jaro-Winkler similarity over two arrays of strings; 0 where either has none."""
-    return pd.Series([max((jaro_winkler_of(x, y) for x in (p if p is not None else ()) for y in (q if q is not None else ()) if x and y), default=0.0) for p, q in zip(a, b)], dtype="float64")
+    pairs = [(i, x, y) for i, (p, q) in enumerate(zip(a, b)) for x in (p if p is not None else ()) for y in (q if q is not None else ()) if x and y]
+    out = np.zeros(len(a))
+    if pairs:
+        at, left, right = zip(*pairs)
+        np.maximum.at(out, np.array(at), jaro_winkler_pairs(list(left), list(right)))
+    return pd.Series(out, dtype="float64")
 
 
 def dot(a: Column, b: Column) -> Column:

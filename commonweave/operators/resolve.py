@@ -6,19 +6,20 @@ shared addresses and accounts, one new person for each component.
 
 Candidates come from equi-joins on blocking values only (addresses, accounts,
 handles named in a biography, the city or employer beside a name, beginnings of words),
-so no pair is made that shares nothing; names are then compared by Jaro-Winkler.
+so no pair is made that shares nothing; names are then compared by Jaro-Winkler, within the
+worker that holds a block, so that only the best of them are ever written.
 """
 
 from __future__ import annotations
 
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.similarity import best_jaro_winkler, jaro_winkler
 from ..functions.text import FREE_MAIL, email_domain, normalize_name
-from ..session import cut
+from ..session import cut, shuffle_partitions
+from .likest import likest_in_blocks
 
 #: So marked, it is not moved before the choice of distinct pairs.
 _similar = jaro_winkler.asNondeterministic()
@@ -30,6 +31,8 @@ WEIGHTS = {
 }
 #: Confidence from which a record is merged, or reviewed; least similarity of a name block and of fuzzy evidence.
 MERGE, REVIEW, BLOCK, FUZZY = 0.85, 0.65, 0.8, 0.85
+#: Platforms whose handles a biography names.
+BIO = ("github", "twitter", "linkedin")
 #: Candidates kept for each record, by the kind of block and the likeness of names.
 MOST_CANDIDATES = 20
 
@@ -56,36 +59,51 @@ def prepare(df: DataFrame, key: str) -> DataFrame:
 
 
 def _blocks(df: DataFrame, bio: bool) -> DataFrame:
-    """(key, priority, value) of each blocking value: 1 addresses, 2 accounts, 3 handles in
-    the biography, 4 names. A record with a city or employer needs one of them to agree, so those alone
-    bring its names together with the names of persons there, and none is missed; a record
-    without either meets persons by a word of three letters or more that begins alike."""
+    """(key, priority, value) of each value that ties by itself: 1 addresses, 2 accounts, 3 handles in the biography."""
     own = F.transform("emails", lambda e: F.struct(F.lit(1).alias("priority"), F.concat(F.lit("e:"), e).alias("value")))
     accounts = F.transform("accounts", lambda a: F.struct(F.lit(2).alias("priority"), F.concat(F.lit("a:"), a).alias("value")))
-    named = F.array_compact(F.array(*[F.when(F.col(p).isNotNull(), F.struct(F.lit(3).alias("priority"), F.concat(F.lit(f"a:{p}:"), F.col(p)).alias("value"))) for p in ("github", "twitter", "linkedin")]))
-    ends = F.when(F.size("names") > 0, F.array_compact(F.array(F.concat(F.lit("c:"), F.col("city")), F.concat(F.lit("o:"), F.col("employer"))))).otherwise(F.array().cast("array<string>"))
+    named = F.array_compact(F.array(*[F.when(F.col(p).isNotNull(), F.struct(F.lit(3).alias("priority"), F.concat(F.lit(f"a:{p}:"), F.col(p)).alias("value"))) for p in BIO]))
+    parts = [own, accounts, named] if bio else [own, accounts]
+    return df.select("key", F.explode(F.array_distinct(F.concat(*parts))).alias("b")).select("key", "b.priority", "b.value")
+
+
+def _name_blocks(df: DataFrame, bio: bool) -> DataFrame:
+    """(value, key, names) of each block in which names are compared. A record with a city or employer needs one of
+    them to agree, so those alone bring its names together with the names of persons there, and none is missed; a record
+    without either meets persons by a word of three letters or more that begins alike."""
+    ends = F.array_compact(F.array(F.concat(F.lit("c:"), F.col("city")), F.concat(F.lit("o:"), F.col("employer"))))
     words = F.array_distinct(F.transform(F.filter(F.flatten(F.transform("names", lambda n: F.split(n, " "))), lambda w: F.length(w) >= 2), lambda w: F.concat(F.lit("n:"), F.substring(w, 1, 3))))
-    if bio:
-        words = F.when(F.size(ends) == 0, words).otherwise(F.array().cast("array<string>"))
-    names = F.transform(F.concat(ends, words), lambda e: F.struct(F.lit(4).alias("priority"), e.alias("value")))
-    parts = [own, accounts, named, names] if bio else [own, accounts, names]
-    return df.select("key", F.explode(F.concat(*parts)).alias("b")).select("key", "b.priority", "b.value").distinct()
+    values = F.when(F.size(ends) == 0, words).otherwise(ends) if bio else F.concat(ends, words)
+    return df.filter(F.size("names") > 0).select(F.explode(values).alias("value"), "key", F.array_distinct("names").alias("names"))
 
 
-def candidates(records: DataFrame, persons: DataFrame, most: int = MOST_CANDIDATES) -> DataFrame:
-    """(record, person, priority, likeness) of at most `most` persons for each record.
-    Name blocks need likeness 0.8 and, where the record has a city or employer, that one of them agrees."""
+def _proven(records: DataFrame, persons: DataFrame) -> DataFrame:
+    """(record, person, priority, proofs) of those that share an address, an account or a handle in the
+    biography; proofs are the kinds of evidence that this is."""
     left = _blocks(records, True).select(F.col("key").alias("record"), "priority", "value")
     right = _blocks(persons, False).select(F.col("key").alias("person"), "value")
-    met = left.join(right, "value").groupBy("record", "person").agg(F.min("priority").alias("priority"))
-    r, p = records.alias("r"), persons.alias("p")
-    both = met.join(r, F.col("record") == F.col("r.key")).join(p, F.col("person") == F.col("p.key"))
-    both = both.withColumn("likeness", best_jaro_winkler(F.col("r.names"), F.col("p.names")))
-    context = F.col("r.city").isNotNull() | F.col("r.employer").isNotNull()
-    agrees = F.coalesce(F.col("r.city") == F.col("p.city"), F.lit(False)) | F.coalesce(F.col("r.employer") == F.col("p.employer"), F.lit(False))
-    kept = both.filter((F.col("priority") < 4) | ((F.col("likeness") >= BLOCK) & (~context | agrees))).select("record", "person", "priority", "likeness")
+    kind = F.when(F.col("priority") == 1, "email_exact").when(F.col("priority") == 3, F.concat(F.split_part("value", F.lit(":"), F.lit(2)), F.lit("_link_in_bio")))
+    return left.join(right, "value").groupBy("record", "person").agg(F.min("priority").alias("priority"), F.collect_set(kind).alias("proofs"))
+
+
+def _candidates(proven: DataFrame, r: DataFrame, p: DataFrame, most: int) -> DataFrame:
+    """candidates() with their proofs, of records and persons that need not be computed again."""
+    proven = proven.join(r.select(F.col("key").alias("record"), F.col("names").alias("rn")), "record").join(p.select(F.col("key").alias("person"), F.col("names").alias("pn")), "person")
+    proven = proven.select("record", "person", "priority", best_jaro_winkler("rn", "pn").alias("likeness"), "proofs")
+    near = likest_in_blocks(_name_blocks(r, True), _name_blocks(p, False), most, BLOCK)
+    near = near.select("record", "person", F.lit(4).alias("priority"), "likeness", F.array().cast("array<string>").alias("proofs"))
+    # those proven are the first anyway, so that the best `most` by names are enough beside them
+    every = proven.unionByName(near).repartition(shuffle_partitions(r.sparkSession), "record")
+    every = every.groupBy("record", "person").agg(F.min(F.struct("priority", "likeness", "proofs")).alias("m")).select("record", "person", "m.*")
     rank = F.row_number().over(Window.partitionBy("record").orderBy("priority", F.desc("likeness"), "person"))
-    return kept.withColumn("_k", rank).filter(F.col("_k") <= most).drop("_k")
+    return every.withColumn("_k", rank).filter(F.col("_k") <= most).drop("_k")
+
+
+def candidates(records: DataFrame, persons: DataFrame, most: int = MOST_CANDIDATES) -> DataFrame:
+    """(record, person, priority, likeness) of at most `most` persons for each record.
+    Name blocks need likeness 0.8 and, where the record has a city or employer, that one of them agrees."""
+    slim = [cut(df.select("key", "names", "city", "employer")) for df in (records, persons)]
+    return _candidates(_proven(records, persons), *slim, most).drop("proofs")
 
 
 def alike_words(left: DataFrame, right: DataFrame, least: float = 0.95) -> DataFrame:
@@ -109,21 +127,28 @@ def alike_words(left: DataFrame, right: DataFrame, least: float = 0.95) -> DataF
 
 
 def signals(pairs: DataFrame, records: DataFrame, persons: DataFrame) -> DataFrame:
-    """pairs with `signals`: an array of (kind, weight, confidence), only the kinds that fire."""
-    both = pairs.join(records.alias("r"), F.col("record") == F.col("r.key")).join(persons.alias("p"), F.col("person") == F.col("p.key"))
+    """pairs with `signals`: an array of (kind, weight, confidence), only the kinds that fire. Where pairs have
+    `proofs` and their true likeness, as of _candidates(), the persons' names, addresses and accounts are not moved."""
+    given = "proofs" in pairs.columns
+    domains = lambda e: F.array_distinct(F.filter(F.transform(e, email_domain), lambda d: (d != "") & ~d.isin(list(FREE_MAIL))))
+    persons = persons.withColumn("domains", domains("emails"))
+    if given:
+        persons = persons.drop("names", "emails", "accounts", "github", "twitter", "linkedin")
+    both = pairs.join(persons.alias("p"), F.col("person") == F.col("p.key")).join(records.withColumn("domains", domains("emails")).alias("r"), F.col("record") == F.col("r.key"))
     r, p = (lambda c: F.col(f"r.{c}")), (lambda c: F.col(f"p.{c}"))
-    domains = lambda e: F.filter(F.transform(e, email_domain), lambda d: (d != "") & ~d.isin(list(FREE_MAIL)))
-    exact = F.arrays_overlap(r("names"), p("names"))
+    # only equal names have likeness 1
+    exact = F.col("likeness") == 1 if given else F.arrays_overlap(r("names"), p("names"))
     fuzzy = F.when(~exact & (F.col("likeness") >= FUZZY), F.greatest(F.lit(0.5), (F.col("likeness") - FUZZY) / (1 - FUZZY)))
     name = F.when(exact, F.lit(1.0)).otherwise(fuzzy)
-    known = lambda platform: F.when(r(platform).isNotNull() & F.array_contains(p("accounts"), F.concat(F.lit(f"{platform}:"), r(platform))), F.lit(1.0))
+    proof = lambda kind, otherwise: F.when(F.array_contains("proofs", kind) if given else otherwise(), F.lit(1.0))
+    known = lambda platform: proof(f"{platform}_link_in_bio", lambda: r(platform).isNotNull() & F.array_contains(p("accounts"), F.concat(F.lit(f"{platform}:"), r(platform))))
     mutual = F.size(F.array_intersect(r("connected_ids"), p("connected_ids")))
     shared = F.size(F.array_intersect(r("event_ids"), p("event_ids")))
     countries = F.coalesce(r("country") == p("country"), F.lit(True))
     zone = lambda z: F.split_part(z, F.lit("/"), F.lit(1))
     found = {
-        "name_exact": F.when(exact, F.lit(1.0)), "name_fuzzy": fuzzy, "email_exact": F.when(F.arrays_overlap(r("emails"), p("emails")), F.lit(1.0)),
-        "email_domain": F.when(F.arrays_overlap(domains(r("emails")), domains(p("emails"))), name), "github_link_in_bio": known("github"), "twitter_link_in_bio": known("twitter"), "linkedin_link_in_bio": known("linkedin"),
+        "name_exact": F.when(exact, F.lit(1.0)), "name_fuzzy": fuzzy, "email_exact": proof("email_exact", lambda: F.arrays_overlap(r("emails"), p("emails"))),
+        "email_domain": F.when(F.arrays_overlap(r("domains"), p("domains")), name), "github_link_in_bio": known("github"), "twitter_link_in_bio": known("twitter"), "linkedin_link_in_bio": known("linkedin"),
         "employer_match": F.when(r("employer") == p("employer"), F.lit(1.0)), "city_match": F.when((r("city") == p("city")) & countries, F.lit(1.0)),
         "timezone_overlap": F.when(r("timezone") == p("timezone"), F.lit(1.0)).when(zone(r("timezone")) == zone(p("timezone")), F.lit(0.5)),
         "mutual_connection": F.when(mutual > 0, F.greatest(F.lit(0.5), F.least(F.lit(1.0), mutual / 3.0))), "event_co_attendance": F.when(shared > 0, F.least(F.lit(1.0), shared / 2.0)),
@@ -155,11 +180,14 @@ def resolve(records: DataFrame, persons: DataFrame, require_identity_signal: boo
     require_identity_signal turns a merge without name, address or biography
     evidence into a review.
     """
-    first = explicit_links(records, persons).select("record", F.col("person").alias("linked"))
-    scored = signals(candidates(records, persons), records, persons).filter(F.size("signals") > 0).withColumn("score", confidence(F.col("signals")))
-    best = scored.groupBy("record").agg(F.max_by(F.struct("person", "score", "signals"), F.struct("score", F.xxhash64("person"))).alias("top"), F.max("score").alias("m"), F.count("*").alias("n"))
-    least = scored.join(best.select("record", "m"), "record").filter("score = m").groupBy("record").agg(F.min_by(F.struct("person", "score", "signals"), "person").alias("b"))
-    out = records.select(F.col("key").alias("record")).join(first, "record", "left").join(best.select("record", "n"), "record", "left").join(least, "record", "left")
+    records, persons = cut(records), cut(persons)
+    proven = cut(_proven(records, persons))
+    first = proven.filter("priority < 3").groupBy("record").agg(F.min(F.struct("priority", "person"))["person"].alias("linked"))  # as explicit_links()
+    scored = signals(_candidates(proven, records, persons, MOST_CANDIDATES), records, persons).filter(F.size("signals") > 0).withColumn("score", confidence(F.col("signals")))
+    # at most MOST_CANDIDATES for each record
+    best = scored.groupBy("record").agg(F.collect_list(F.struct("person", "score", "signals")).alias("l"), F.max("score").alias("m"))
+    best = best.select("record", F.size("l").alias("n"), F.array_min(F.filter("l", lambda x: x["score"] == F.col("m"))).alias("b"))
+    out = records.select(F.col("key").alias("record")).join(first, "record", "left").join(best, "record", "left")
     identity = F.exists("b.signals", lambda x: ~x["kind"].isin("employer_match", "city_match", "timezone_overlap", "mutual_connection", "event_co_attendance"))
     strong = F.col("b.score") >= MERGE
     action = (
