@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def jaro(a: str, b: str) -> float:
-    """The Jaro similarity of two strings; 0 where one is empty, 1 where they are equal."""
+def jaro(a: str, b: str, whole: bool = False) -> float:
+    """The Jaro similarity of two strings; 0 where one is empty, 1 where they are equal. Two moved letters
+    make a swap; whole leaves out half a swap, as DuckDB does."""
     if a == b:
         return 1.0 if a else 0.0
     if not a or not b:
@@ -28,14 +29,15 @@ def jaro(a: str, b: str) -> float:
     if not taken:
         return 0.0
     from_b = [b[j] for j in sorted(taken)]
-    swaps = sum(x != y for x, y in zip(from_a, from_b)) / 2
+    moved = sum(x != y for x, y in zip(from_a, from_b))
+    swaps = moved // 2 if whole else moved / 2
     m = len(taken)
     return (m / len(a) + m / len(b) + (m - swaps) / m) / 3
 
 
-def jaro_winkler_of(a: str, b: str, weight: float = 0.1, prefix: int = 4) -> float:
+def jaro_winkler_of(a: str, b: str, weight: float = 0.1, prefix: int = 4, whole: bool = False) -> float:
     """Jaro similarity raised for a common beginning of up to `prefix` letters."""
-    s = jaro(a, b)
+    s = jaro(a, b, whole)
     if s in (0.0, 1.0):
         return s
     n = 0
@@ -56,22 +58,22 @@ def letter_codes(words: list[str]) -> np.ndarray:
     return np.array(words, dtype=f"U{width}").view(np.uint32).reshape(len(words), width)
 
 
-def jaro_winkler_pairs(a: list[str], b: list[str], weight: float = 0.1, prefix: int = 4) -> np.ndarray:
+def jaro_winkler_pairs(a: list[str], b: list[str], weight: float = 0.1, prefix: int = 4, whole: bool = False) -> np.ndarray:
     """jaro_winkler_of() of many pairs at once, to the last bit: the positions of a letter are bits of a long, and
     each step is taken for all pairs together. Words of more than BITS letters are compared one pair at a time."""
     size = np.array([(len(x), len(y)) for x, y in zip(a, b)], dtype=np.int64).reshape(-1, 2)
     out = np.zeros(len(a))
     for i in np.flatnonzero(size.max(axis=1, initial=0) > BITS):
-        out[i] = jaro_winkler_of(a[i], b[i], weight, prefix)
+        out[i] = jaro_winkler_of(a[i], b[i], weight, prefix, whole)
     short = np.flatnonzero((size.max(axis=1, initial=0) <= BITS) & (size.min(axis=1, initial=BITS) > 0))
     short = short[np.argsort(size[short, 0], kind="stable")]
     for k in range(0, len(short), BATCH):
         at = short[k : k + BATCH]
-        out[at] = _short_pairs([a[i] for i in at], [b[i] for i in at], size[at, 0], size[at, 1], weight, prefix)
+        out[at] = _short_pairs([a[i] for i in at], [b[i] for i in at], size[at, 0], size[at, 1], weight, prefix, whole)
     return out
 
 
-def _short_pairs(a: list[str], b: list[str], la: np.ndarray, lb: np.ndarray, weight: float, prefix: int) -> np.ndarray:
+def _short_pairs(a: list[str], b: list[str], la: np.ndarray, lb: np.ndarray, weight: float, prefix: int, whole: bool) -> np.ndarray:
     n, one = len(a), np.uint64(1)
     rows = np.arange(n)
     ca, cb = letter_codes(a), letter_codes(b)
@@ -103,7 +105,7 @@ def _short_pairs(a: list[str], b: list[str], la: np.ndarray, lb: np.ndarray, wei
         taken_a ^= one_a
         taken_b ^= one_b
     full = np.maximum(m, 1)
-    s = np.where(m == 0, 0.0, (m / la + m / lb + (m - moved / 2) / full) / 3)
+    s = np.where(m == 0, 0.0, (m / la + m / lb + (m - (moved // 2 if whole else moved / 2)) / full) / 3)
     width, common, alike = min(prefix, ca.shape[1], cb.shape[1]), np.zeros(n, dtype=np.int64), np.ones(n, dtype=bool)
     for i in range(width):
         alike &= (ca[:, i] == cb[:, i]) & (la > i) & (lb > i)

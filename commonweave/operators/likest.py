@@ -4,7 +4,7 @@ among the best is measured. No pair leaves the worker that is not an answer."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -153,9 +153,41 @@ def _cells(pdf: pd.DataFrame) -> Iterator[tuple[dict, dict]]:
 
 def likest_in_blocks(left: DataFrame, right: DataFrame, most: int, least: float) -> DataFrame:
     """(record, person, likeness) for left(value, key, names) and right(value, key, names): in each block, or part of a
-    large one, the `most` persons of best likeness for each record. Blocks are split by the hash of the names,
-    so that a worker's share does not grow with the input; a person may so come several times."""
-    spark = left.sparkSession
+    large one, the `most` persons of best likeness for each record. A person may come several times, of several parts."""
+    compare = lambda cells: likest_of_cells(cells, most, least)
+    return in_cells(left, right, compare, ("record", "person", "likeness"))
+
+
+def alike_of_cells(cells: Iterator[tuple[dict, dict]], least: float, whole: bool) -> Iterator[tuple[str, str, float]]:
+    """(a, b, s): in each cell the pairs of single names of Jaro-Winkler similarity `least` and more."""
+    texts: tuple[list[str], list[str]] = ([], [])
+
+    def measure() -> Iterator[tuple[str, str, float]]:
+        for a, b, s in zip(*texts, jaro_winkler_pairs(*texts, whole=whole).tolist()):
+            if s >= least:
+                yield a, b, s
+        texts[0].clear()
+        texts[1].clear()
+
+    for left, right in cells:
+        words = [[name for (name,) in side] for side in (left, right)]
+        if not words[0] or not words[1]:
+            continue
+        a, b = Signed(words[0]), Signed(words[1])
+        step = max(1, BOUNDED // len(words[1]))
+        for k in range(0, len(words[0]), step):
+            x, y = np.nonzero(bounds(a, slice(k, k + step), b, slice(None)) >= least - SLACK)
+            texts[0].extend(words[0][i] for i in (x + k).tolist())
+            texts[1].extend(words[1][j] for j in y.tolist())
+            if len(texts[0]) >= GATHERED:
+                yield from measure()
+    yield from measure()
+
+
+def in_cells(left: DataFrame, right: DataFrame, compare: Callable[[Iterator[tuple[dict, dict]]], Iterator[tuple]], out: tuple[str, str, str]) -> DataFrame:
+    """What compare(cells) yields, two texts and a double, over the blocks of left(value, key, names) and right(value, key, names).
+    Blocks are split by the hash of the names, so that a worker's share does not grow with the input."""
+    spark, kind = left.sparkSession, left.schema["value"].dataType.simpleString()
     sizes = left.groupBy("value").agg(F.count("*").alias("l")).join(right.groupBy("value").agg(F.count("*").alias("r")), "value")
     parts_r = F.ceil(F.col("r") / CELL_RIGHT)
     parts_l = F.least(F.ceil(F.col("l") * F.least("r", F.lit(CELL_RIGHT)) / CELL_PAIRS), F.col("l"))
@@ -164,7 +196,7 @@ def likest_in_blocks(left: DataFrame, right: DataFrame, most: int, least: float)
     told = sizes.agg(F.sum(F.col("l") * F.col("nr") + F.col("r") * F.col("nl")).alias("rows"), split.alias("split")).first()
     bins = 1 + (told["rows"] or 0) // BIN_ROWS
     # a block that is split has over a thousand rows, which bounds their number
-    large = F.broadcast(spark.createDataFrame([tuple(r) for r in told["split"]], "value string, nl int, nr int"))
+    large = F.broadcast(spark.createDataFrame([tuple(r) for r in told["split"]], f"value {kind}, nl int, nr int"))
 
     def placed(side: DataFrame, is_left: bool) -> DataFrame:
         n = side.join(large, "value", "left").select("value", "key", "names", F.coalesce("nl", F.lit(1)).alias("nl"), F.coalesce("nr", F.lit(1)).alias("nr"))
@@ -175,8 +207,8 @@ def likest_in_blocks(left: DataFrame, right: DataFrame, most: int, least: float)
         n = n.withColumn("part", F.col(l) * F.col("nr") + F.col(r))
         return n.select(F.pmod(F.xxhash64("value", "part"), F.lit(bins)).alias("bin"), "value", "part", F.lit(is_left).alias("is_left"), "key", "names")
 
-    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame(list(likest_of_cells(_cells(pdf), most, least)), columns=["record", "person", "likeness"])
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame(list(compare(_cells(pdf))), columns=list(out))
 
     both = placed(left, True).unionByName(placed(right, False))
-    return both.groupBy("bin").applyInPandas(compare, "record string, person string, likeness double")
+    return both.groupBy("bin").applyInPandas(run, f"{out[0]} string, {out[1]} string, {out[2]} double")

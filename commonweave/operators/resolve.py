@@ -12,17 +12,19 @@ worker that holds a block, so that only the best of them are ever written.
 
 from __future__ import annotations
 
+import zlib
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions.similarity import best_jaro_winkler, jaro_winkler
+from ..functions.similarity import best_jaro_winkler, letter_codes
 from ..functions.text import FREE_MAIL, email_domain, normalize_name
 from ..session import cut, shuffle_partitions
-from .likest import likest_in_blocks
-
-#: So marked, it is not moved before the choice of distinct pairs.
-_similar = jaro_winkler.asNondeterministic()
+from .likest import alike_of_cells, in_cells, likest_in_blocks
 
 #: Weight of each kind of evidence; fixed values.
 WEIGHTS = {
@@ -106,24 +108,56 @@ def candidates(records: DataFrame, persons: DataFrame, most: int = MOST_CANDIDAT
     return _candidates(_proven(records, persons), *slim, most).drop("proofs")
 
 
-def alike_words(left: DataFrame, right: DataFrame, least: float = 0.95) -> DataFrame:
-    """(a, b, s): distinct words of left(value) and right(value) of Jaro-Winkler similarity `least`, 0.95 or more.
-
-    From 0.95 on, the Jaro similarity is at least 0.9167, so the shorter word has three quarters
-    of the longer one's letters, and two words of one length up to 15 have all letters but one in
-    common. Words meet that begin or end with the same three letters, or whose letters,
-    in any order, are the same after leaving out at most one on each side. What remains apart
-    differs within the first three letters and within the last three, and by more than one letter.
-    """
-
-    def keyed(words: DataFrame, name: str) -> DataFrame:
-        letters = F.sort_array(F.split("value", ""))
-        without = F.transform(F.sequence(F.lit(0), F.size(letters) - 1), lambda i: F.concat(F.lit("*"), F.array_join(F.filter(letters, lambda _, k: k != i), "")))
-        keys = F.array_distinct(F.concat(F.array(F.concat(F.lit("^"), F.substring("value", 1, 3)), F.concat(F.lit("$"), F.substring("value", -3, 3)), F.concat(F.lit("*"), F.array_join(letters, ""))), without))
-        return words.filter("length(value) > 0").distinct().select(F.col("value").alias(name), F.explode(keys).alias("key"))
-
-    met = keyed(left, "a").join(keyed(right, "b"), "key").filter(F.least(F.length("a"), F.length("b")) >= 0.75 * F.greatest(F.length("a"), F.length("b")))
-    return met.select("a", "b").distinct().withColumn("s", _similar("a", "b")).filter(F.col("s") >= least)
+#: Letters by how common they are, so that each group gets as many, and the slots that hold them and all others.
+LETTERS, SLOTS = "aeinrolstmhdcukgbypjvwfzxq0123456789", 64
+#: What rounding may take from a bound.
+ROUNDING = 1e-6
+
+
+def alike_words(left: DataFrame, right: DataFrame, least: float = 0.95, whole: bool = False) -> DataFrame:
+    """(a, b, s): all distinct words of left(value) and right(value) of Jaro-Winkler similarity `least`, 0.95 or
+    more; whole as in jaro().
+
+    With p letters of a common beginning, la and lb letters, m of them in common and t moved, `least` says
+    (1 - m/la) + (1 - m/lb) + t/m <= 3 (1 - least) / (1 - p/10), so at most that share of the longer word's letters
+    is without a partner on either side. Words meet that begin with the same three letters; and, for p up to 2, the
+    alphabet is cut into more groups than there can be such letters, and words meet that have the same
+    letters, in any order, in one group. So no pair is lost. What meets is compared within one worker."""
+    signed = [_signed_words(cut(words.filter("length(value) > 0").select("value").distinct()), 3 * (1 - least) / 0.8) for words in (left, right)]
+    return in_cells(*signed, lambda cells: alike_of_cells(cells, least, whole), ("a", "b", "s")).distinct()
+
+
+def _signed_words(words: DataFrame, room: float) -> DataFrame:
+    """(value, key '', names) of each key by which alike_words() lets words(value) meet. A key holds how many letters
+    the longer word of a pair may have without a partner, at the share `room`; a word has those of all its partners' lengths."""
+
+    def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        weight = np.random.default_rng(20240517).integers(1, 1 << 63, SLOTS, dtype=np.uint64)
+        slot_of = {ord(c): k for k, c in enumerate(LETTERS)}
+        allowed = lambda n: np.floor(n * room + ROUNDING).astype(int)
+        for pdf in batches:
+            values = list(pdf["value"])
+            if not values:
+                continue
+            codes, length = letter_codes(values), np.array([len(v) for v in values])
+            kinds, at = np.unique(codes, return_inverse=True)
+            slots = np.array([slot_of.get(int(c), len(LETTERS) + int(c) % (SLOTS - len(LETTERS))) for c in kinds])[at.reshape(codes.shape)]
+            rows, count = np.arange(len(values)), np.zeros((len(values), SLOTS), dtype=np.uint64)
+            for j in range(codes.shape[1]):
+                count[rows, slots[:, j]] += (length > j).astype(np.uint64)
+            owners = [rows[length >= 3]]
+            keys = [np.array([zlib.crc32(v[:3].encode()) for v in values if len(v) >= 3], dtype=np.int64)]
+            low, high = allowed(length), allowed(np.floor(length / (1 - room) + ROUNDING))
+            for u in range(int(low.min()), int(high.max()) + 1):
+                r = rows[(low <= u) & (u <= high)]
+                for g in range(min(u + 1, SLOTS) if len(r) else 0):
+                    # the sum of the weights of its letters stands for what a word has in a group
+                    had = (count[r, g :: u + 1] * weight[g :: u + 1]).sum(axis=1, dtype=np.uint64)
+                    keys.append((had ^ np.uint64(zlib.crc32(f"{u} {g}".encode()) << 31)).astype(np.int64))
+                    owners.append(r)
+            yield pd.DataFrame({"value": np.concatenate(keys), "word": pdf["value"].to_numpy()[np.concatenate(owners)]})
+
+    return words.mapInPandas(sign, "value long, word string").select("value", F.lit("").alias("key"), F.array("word").alias("names"))
 
 
 def signals(pairs: DataFrame, records: DataFrame, persons: DataFrame) -> DataFrame:

@@ -6,13 +6,14 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions import jsonx
 from ..functions import text as X
 from ..functions.similarity import vector_of, vector_text
 from ..operators import graph, quality, records as R, resolve as I, scoring
 from ..sources import raw, sinks
-from ..session import ensure_checkpoint_dir
+from ..session import cut, ensure_checkpoint_dir
 from ..streaming import ingest
 from ..tables import latest_rows, table
 from .frames import SQL_AS_OF, as_of, latest_sql, records
@@ -243,15 +244,18 @@ def person_resolution(spark: SparkSession, folder: str) -> DataFrame:
 def reconciled_accounts(spark: SparkSession, folder: str) -> DataFrame:
     """Accounts of other persons that fit a person's name: a handle variant of one person only
     gives 0.92; else the most alike name core of at least 0.95, 0.85 and twice the surplus, 0.95 at most."""
-    person = records(spark, folder, "person", ["canonical_name", "is_active"]).filter("is_active").select(F.col("id").alias("person"), X.name_core("canonical_name").alias("core"), X.handle_variants("canonical_name").alias("variants")).filter("length(core) >= 5")
-    ids = records(spark, folder, "person_platform_identity", ["person_id", "handle"]).select(F.col("id").alias("identity"), "person_id", F.regexp_replace(X.normalize_handle("handle"), "[^a-z0-9]", "").alias("slug")).filter("length(slug) >= 4")
+    person = cut(records(spark, folder, "person", ["canonical_name", "is_active"]).filter("is_active").select(F.col("id").alias("person"), X.name_core("canonical_name").alias("core"), X.handle_variants("canonical_name").alias("variants")).filter("length(core) >= 5"))
+    ids = cut(records(spark, folder, "person_platform_identity", ["person_id", "handle"]).select(F.col("id").alias("identity"), "person_id", F.regexp_replace(X.normalize_handle("handle"), "[^a-z0-9]", "").alias("slug")).filter("length(slug) >= 4"))
     variants = person.select("person", F.explode("variants").alias("slug"))
-    only = variants.groupBy("slug").agg(F.count_distinct("person").alias("n"), F.min("person").alias("person")).filter("n = 1").drop("n")
+    only = variants.groupBy("slug").agg(F.min("person").alias("person"), F.max("person").alias("last")).filter("person = last").drop("last")
     exact = ids.join(only, "slug").filter("person <> person_id").select("identity", "person", F.lit(0.92).alias("confidence"))
     rest = ids.join(exact.select("identity"), "identity", "left_anti").filter("length(slug) >= 6")
     cores = person.filter("length(core) >= 6").select("person", "core")
-    alike = I.alike_words(rest.select(F.col("slug").alias("value")).distinct(), cores.select(F.col("core").alias("value")).distinct(), 0.95)
-    near = rest.join(alike.withColumnRenamed("a", "slug"), "slug").join(cores.withColumnRenamed("core", "b"), "b").filter("person <> person_id")
+    alike = I.alike_words(rest.select(F.col("slug").alias("value")), cores.select(F.col("core").alias("value")), 0.95, whole=True)
+    # an account leaves out one person at most, its own, so the two first of a core and of a slug are enough
+    two = lambda df, by, *order: df.withColumn("_k", F.row_number().over(Window.partitionBy(by).orderBy(*order))).filter("_k <= 2").drop("_k")
+    fits = two(alike.withColumnRenamed("a", "slug").join(two(cores.withColumnRenamed("core", "b"), "b", "person"), "b"), "slug", F.desc("s"), "person")
+    near = rest.join(fits.select("slug", "person", "s"), "slug").filter("person <> person_id")
     best = near.groupBy("identity").agg(F.min_by(F.struct("person", "s"), F.struct(-F.col("s"), "person")).alias("m"))
     fuzzy = best.select("identity", "m.person", F.least(F.lit(0.95), 0.85 + (F.col("m.s") - 0.95) * 2).alias("confidence"))
     return exact.unionByName(fuzzy).withColumn("confidence", F.round("confidence", 6))
