@@ -7,7 +7,7 @@ import random
 import numpy as np
 
 from commonweave.llm.editmetric import damerau
-from commonweave.llm.radius import edit_distances, minhash_links, packed, shorter_keys, unpacked
+from commonweave.llm.radius import edit_distances, minhash_links, packed, radius_join, shorter_keys, unpacked
 
 
 def slips(seed: int, letters: str, lengths: range, n: int) -> list[str]:
@@ -56,3 +56,14 @@ def test_values_are_signed_once_and_none_is_lost(spark):
     for low, high, share in ((5, 8, 1.0), (22, 40, 0.9)):
         want = {(t, a, b, damerau(a, b)) for a in words for b in words if a < b and low <= min(len(a), len(b)) <= high and damerau(a, b) <= 2 for t in ("name", "base")}
         assert len(want & got) >= share * len(want) > 0
+
+
+def test_cells_hold_strings_alone(spark):
+    """Before, each copy of a string took its distances to the pivots along."""
+    words = [*slips(7, "abcж", range(2, 9), 20), *slips(8, "abcdefgh", range(30, 34), 3)]
+    df = spark.createDataFrame([(w,) for w in words], "value string")
+    for radius, part_strings in ((1, 50_000), (2, 7)):
+        links = radius_join(df, radius, 5, part_strings)
+        assert "far" not in links._jdf.queryExecution().optimizedPlan().toString()  # noqa: SLF001
+        got = {(r["a"], r["b"], r["dist"]) for r in links.filter("dist > 0").collect()}
+        assert got == {(a, b, damerau(a, b)) for a in words for b in words if a < b and damerau(a, b) <= radius}
